@@ -173,7 +173,7 @@ def order_segment(orders: Column, label: int) -> Column:
 
 
 def customer_sample(customers: DataFrame, rows: int = 10) -> DataFrame:
-    return customers.limit(rows)
+    return customers.orderBy("customer_key").limit(rows)
 
 
 def customers_by_currency(customers: DataFrame) -> DataFrame:
@@ -251,7 +251,7 @@ def price_band(price: Column) -> Column:
 
 
 def product_sample(products: DataFrame, rows: int = 10) -> DataFrame:
-    return products.limit(rows)
+    return products.orderBy("product_key").limit(rows)
 
 
 def products_by_currency(products: DataFrame) -> DataFrame:

@@ -36,17 +36,25 @@ class Load:
     history: DataFrame
 
 
-def list_files(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
-    """Files below ``path`` whose path matches the regular expression; contents are not read."""
+def _listing(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame:
+    """Files by path, and by the spelling their rows carry (``_metadata.file_path`` is URL-encoded)."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+        .load(paths)
+        .select(
+            "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"),
+            F.col("_metadata.file_path").alias("file_name"),
+        )
         .where(F.col("path").rlike(pattern))
     )
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
+    """Files below ``path`` whose path matches the regular expression; contents are not read."""
+    return _listing(spark, path, pattern).drop("file_name")
+
+
 def _null_tokens(column: str) -> Column:
     value = F.col(column)
     return F.when(~value.isin(NULL_TOKENS), value).alias(column)
@@ -162,7 +170,7 @@ def apply_error_policy(parsed: DataFrame, policy: str) -> tuple[DataFrame, DataF
     return kept, files
 
 
-def _history(spark: SparkSession, listed: DataFrame, files: DataFrame) -> DataFrame:
+def _history(listed: DataFrame, files: DataFrame) -> DataFrame:
     """Files without a single row (empty, or only a header) count as loaded with zero rows."""
     loaded = F.when(F.col("skipped"), 0).otherwise(F.col("row_parsed") - F.col("error_count"))
     status = (
@@ -193,17 +201,7 @@ def copy_csv(
     """Load CSV files into raw_transactions rows under an error policy."""
     parsed = number_rows(scan_csv(spark, paths, pattern, multi_line))
     kept, files = apply_error_policy(parsed, on_error)
-    listed = _listing(spark, paths, pattern)
-    return Load(as_raw(kept), failed_rows(parsed), _history(spark, listed, files))
-
-
-def _listing(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame:
-    listed = None
-    for path in [paths] if isinstance(paths, str) else paths:
-        part = list_files(spark, path, pattern)
-        listed = part if listed is None else listed.unionByName(part)
-    # The same spelling as _metadata.file_path: file:///x instead of file:/x.
-    return listed.select(F.regexp_replace("path", "^file:/(?!/)", "file:///").alias("file_name")).distinct()
+    return Load(as_raw(kept), failed_rows(parsed), _history(_listing(spark, paths, pattern), files))
 
 
 def failed_rows(parsed: DataFrame) -> DataFrame:
@@ -223,7 +221,7 @@ def validate_csv(spark: SparkSession, paths: str | list[str], pattern: str = CSV
 def copy_parquet(spark: SparkSession, paths: str | list[str], pattern: str = PARQUET_FILES) -> Load:
     rows = materialize(scan_parquet(spark, paths, pattern), "parquet-scan").withColumn(_BAD, F.lit(None).cast("string"))
     kept, files = apply_error_policy(rows, "CONTINUE")
-    return Load(as_raw(kept), failed_rows(rows), _history(spark, _listing(spark, paths, pattern), files))
+    return Load(as_raw(kept), failed_rows(rows), _history(_listing(spark, paths, pattern), files))
 
 
 def failed_loads(history: DataFrame, now: Column, days: int = 7) -> DataFrame:
@@ -233,12 +231,12 @@ def failed_loads(history: DataFrame, now: Column, days: int = 7) -> DataFrame:
 
 def new_files(spark: SparkSession, path: str, history: DataFrame, pattern: str = CSV_FILES) -> DataFrame:
     """Files below ``path`` that no earlier load has seen."""
-    return _listing(spark, path, pattern).join(history.select("file_name"), "file_name", "left_anti")
+    return _listing(spark, path, pattern).join(history.select("file_name"), "file_name", "left_anti").select("path")
 
 
 def copy_new_csv(spark: SparkSession, path: str, history: DataFrame, pattern: str = CSV_FILES, on_error: str = "CONTINUE") -> Load | None:
     """Load only new files. The driver holds the new files' names, as any Spark reader's does."""
-    names = [row.file_name for row in new_files(spark, path, history, pattern).toLocalIterator()]
+    names = [row.path for row in new_files(spark, path, history, pattern).toLocalIterator()]
     return copy_csv(spark, names, pattern, on_error) if names else None
 
 
