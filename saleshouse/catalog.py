@@ -144,7 +144,7 @@ def _scd2_apply(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _corrected_lines(w: Warehouse) -> DataFrame:
-    """Half the price for all sales of one year, and each of them once more under a new invoice."""
+    """A late delivery: half the price for the sales of one year, and each once more under a new invoice."""
     first, last = MERGE_YEAR
     lines = (
         w.clustered_fact.where(layout.month_filter(first, last)).groupBy("invoice_no", "product_key", "date_key", "country_key")
@@ -161,18 +161,11 @@ def _fact_merge(w: Warehouse) -> DataFrame:
     return merged.drop("sales_key")
 
 
-def _slice_copy(w: Warehouse, spark: SparkSession) -> str:
-    """A copy of the months that the reload touches."""
-    path = storage.fresh_path(spark, "slice-target")
-    first, last = SLICE
-    months = F.col(layout.MONTH).between(first // 100, last // 100 + 1)
-    layout.write_clustered(w.clustered_fact.where(months).drop(layout.MONTH), path)
-    return path
-
-
 def _fact_slice_reload(w: Warehouse, spark: SparkSession) -> DataFrame:
+    """In a copy of the fact, the days of the slice are replaced by their larger lines."""
     first, last = SLICE
-    path = _slice_copy(w, spark)
+    path = storage.fresh_path(spark, "slice-target")
+    layout.write_clustered(w.fact, path)
     corrected = layout.read_slice(spark, path, first, last).where("quantity > 5")
     return layout.reload_slice(spark, path, corrected, first, last).drop("_loaded_at")
 
@@ -204,7 +197,7 @@ def _mv_refresh_daily(w: Warehouse, spark: SparkSession) -> DataFrame:
 def _layout_cluster(w: Warehouse, spark: SparkSession) -> DataFrame:
     path = storage.fresh_path(spark, "clustered")
     layout.write_clustered(w.fact, path)
-    return layout.read_slice(spark, path, *SLICE).drop("_loaded_at")
+    return spark.read.parquet(path).drop(layout.MONTH)
 
 
 def _layout_lookup(w: Warehouse, spark: SparkSession) -> DataFrame:
@@ -260,9 +253,11 @@ def _known_products(w: Warehouse) -> DataFrame:
     return w.products.where(F.col("first_sold_date") <= F.lit(LATE_DIMENSION).cast("date"))
 
 
+def _as_of() -> Column:
+    return F.lit(AS_OF).cast("date")
+
+
 def queries() -> dict[str, Query]:
-    as_of = F.lit(AS_OF).cast("date")
-    moment = F.lit(SCD_MOMENT).cast("timestamp_ntz")
     raw_rows = lambda load: load.rows.select(*files.RAW_COLUMNS)
     return {
         # sources
@@ -361,7 +356,7 @@ def queries() -> dict[str, Query]:
         ),
         # versions
         "scd2_current": _over(lambda w: scd2.current(_moving_versions(w)).select("customer_id", "country_name", scd2.FROM), "moving"),
-        "scd2_as_of": _over(lambda w: scd2.as_of(_moving_versions(w), moment).select("customer_id", "country_name", scd2.FROM, scd2.TO), "moving"),
+        "scd2_as_of": _over(lambda w: scd2.as_of(_moving_versions(w), F.lit(SCD_MOMENT).cast("timestamp_ntz")).select("customer_id", "country_name", scd2.FROM, scd2.TO), "moving"),
         "scd2_history": _over(
             lambda w: scd2.history(_moving_versions(w), "customer_id", LOOKUP["customer"])
             .select("customer_id", "country_name", scd2.FROM, scd2.TO, scd2.CURRENT),
@@ -424,7 +419,7 @@ def queries() -> dict[str, Query]:
         "pat_products_per_category_1": _over(lambda w: reports.products_per_category(w.products, w.categories)),
         "pat_products_per_category_2": _over(lambda w: reports.product_listing(w.products, w.categories)),
         "pat_monthly_active": _over(lambda w: reports.monthly_active(w.fact, w.dates)),
-        "pat_rfm_raw": _over(lambda w: reports.rfm_raw(w.fact, w.customers, as_of)),
+        "pat_rfm_raw": _over(lambda w: reports.rfm_raw(w.fact, w.customers, _as_of())),
         "pat_customers_no_country": _over(lambda w: reports.customers_with_country(w.customers, w.countries)),
         "pat_clv_simple": _over(lambda w: reports.simple_lifetime_value(w.fact, w.customers)),
         "pat_product_simple": _over(lambda w: reports.simple_products(w.fact, w.products, w.categories)),
@@ -436,8 +431,8 @@ def queries() -> dict[str, Query]:
         # analytics
         "clv": _over(lambda w: analytics.clv(w.fact, w.customers, w.countries, w.dates)),
         "clv_all": _over(lambda w: analytics.clv(w.fact, w.customers, w.countries, w.dates, k=None)),
-        "rfm": _over(lambda w: analytics.rfm(w.fact, w.customers, w.dates, as_of)),
-        "rfm_all": _over(lambda w: analytics.rfm(w.fact, w.customers, w.dates, as_of, k=None)),
+        "rfm": _over(lambda w: analytics.rfm(w.fact, w.customers, w.dates, _as_of())),
+        "rfm_all": _over(lambda w: analytics.rfm(w.fact, w.customers, w.dates, _as_of(), k=None)),
         "affinity": _over(lambda w: analytics.affinity(w.fact, w.products, min_support=2)),
         "affinity_descriptions": _over(lambda w: analytics.description_affinity(w.fact, w.products)),
         "product_performance": _over(lambda w: analytics.product_performance(w.fact, w.dates, w.products)),
@@ -448,18 +443,18 @@ def queries() -> dict[str, Query]:
         "season_weekend": _over(lambda w: analytics.season_weekend(w.fact, w.dates)),
         "cohort_retention": _over(lambda w: analytics.cohort_retention(w.fact, w.customers, w.dates)),
         "cohort_pivot": _over(lambda w: analytics.cohort_pivot(w.fact, w.customers, w.dates)),
-        "churn": _over(lambda w: analytics.churn(w.fact, w.customers, w.dates, as_of)),
-        "churn_rate": _over(lambda w: analytics.churn_rate(w.fact, w.customers, w.dates, as_of)),
+        "churn": _over(lambda w: analytics.churn(w.fact, w.customers, w.dates, _as_of())),
+        "churn_rate": _over(lambda w: analytics.churn_rate(w.fact, w.customers, w.dates, _as_of())),
         "peak_days": _over(lambda w: analytics.peak_days(w.fact, w.dates)),
         "pareto": _over(lambda w: analytics.pareto(w.fact, w.dates)),
         "pareto_threshold": _over(lambda w: analytics.pareto_threshold(w.fact, w.dates)),
         # summaries
-        "mv_customer_summary": _over(lambda w: summaries.with_days_since(w.customer_summary, as_of)),
+        "mv_customer_summary": _over(lambda w: summaries.with_days_since(w.customer_summary, _as_of())),
         "mv_product_summary": _over(lambda w: w.product_summary),
         "mv_daily_sales": _over(lambda w: w.daily),
         "mv_refresh": _with(lambda w, s, d: _mv_refresh(w, s)),
         "mv_refresh_daily": _with(lambda w, s, d: _mv_refresh_daily(w, s)),
-        "opt_top_customers": _over(lambda w: summaries.top_customers(w.customer_summary, as_of)),
+        "opt_top_customers": _over(lambda w: summaries.top_customers(w.customer_summary, _as_of())),
         "opt_top_products": _over(lambda w: summaries.top_products(w.product_summary)),
         "opt_monthly": _over(lambda w: summaries.monthly(w.daily)),
         "opt_weekend": _over(lambda w: summaries.weekend(w.daily)),

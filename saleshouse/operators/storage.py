@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _KEY = "spark.checkpoint.dir"
 
@@ -37,6 +38,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(table: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a materialized table of at most ``max_rows`` rows; leave a larger one to a shuffle join."""
+    return F.broadcast(table) if table.count() <= max_rows else table
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)

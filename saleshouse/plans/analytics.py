@@ -260,10 +260,10 @@ def product_performance(fact: DataFrame, dates: DataFrame, products: DataFrame,
         .orderBy(F.col("revenue").desc(), "stock_code")
         .limit(k)
     )
-    # The versions of k products.
+    # k stock codes, and their versions: at most one per code and day.
     chosen = products.select("product_key", "stock_code", "description").join(F.broadcast(best.select("stock_code")), "stock_code", "left_semi")
     monthly = (
-        dated(fact, dates, "year", "month", "month_name").join(chosen, "product_key")
+        dated(fact, dates, "year", "month", "month_name").join(F.broadcast(chosen), "product_key")
         .groupBy("year", "month", "month_name", "stock_code", "description")
         .agg(F.sum("quantity").alias("units_sold"), F.sum("total_amount").alias("revenue"))
     )

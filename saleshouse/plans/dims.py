@@ -112,8 +112,12 @@ def unnamed_countries(countries: DataFrame) -> DataFrame:
 
 
 def dim_category(spark: SparkSession) -> DataFrame:
-    rows = list(enumerate(V.CATEGORIES, start=1))
-    return spark.createDataFrame(rows, "category_key bigint, category_name string")
+    """The fixed categories. Built from literals, so Spark knows the table is tiny and broadcasts it."""
+    rows = [
+        F.struct(F.lit(key).cast("bigint").alias("category_key"), F.lit(name).alias("category_name"))
+        for key, name in enumerate(V.CATEGORIES, start=1)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def category_listing(categories: DataFrame) -> DataFrame:
@@ -212,12 +216,12 @@ def longest_customers(customers: DataFrame, k: int = 10) -> DataFrame:
 def dim_product(stg: DataFrame) -> DataFrame:
     """Products of valid rows: greatest description, mean price, first sale; default category."""
     first_day = F.to_date(F.min("invoice_date"))
-    products = stg.where("is_valid").groupBy("stock_code").agg(
+    products = stg.where("is_valid and stock_code is not null").groupBy("stock_code").agg(
         F.max("description").alias("description"),
         C.mean(F.col("unit_price")).cast("decimal(10,2)").alias("unit_price"),
         first_day.alias("first_sold_date"),
     )
-    return with_row_number(products, [F.col("stock_code").asc_nulls_first()], "product_key").select(
+    return with_row_number(products, [F.col("stock_code")], "product_key").select(
         "product_key",
         "stock_code",
         "description",

@@ -129,8 +129,7 @@ def fact_doc_variant(clean: DataFrame, customers: DataFrame, products: DataFrame
     joined = (
         clean.join(customers.select("customer_id", "customer_key"), "customer_id", "left")
         .join(_product_lookup(products), "stock_code", "left")
-        # The calendar is a few thousand rows.
-        .join(F.broadcast(dates.select("date", "date_key")), F.to_date("invoice_date") == F.col("date"), "left")
+        .join(dates.select("date", "date_key"), F.to_date("invoice_date") == F.col("date"), "left")
     )
     order = ["invoice_date", "invoice_no", "stock_code", "quantity", "unit_price", "customer_key", "product_key", "description", "country"]
     numbered = with_row_number(joined, [F.col(c).asc_nulls_first() for c in order], "sales_key")
@@ -229,31 +228,41 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, name: str, skip_null: boo
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
 
 
+def _without_orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Fact rows whose key the dimension has, without shuffling the fact.
+
+    The lost keys are found among the distinct keys and stored; there are normally none, so Spark
+    sees a tiny table and broadcasts it.
+    """
+    lost = materialize(fact.select(key).distinct().join(dim.select(key), key, "left_anti"), "lost-keys")
+    return fact.join(lost, key, "left_anti")
+
+
 def newest_sales(
     fact: DataFrame, dates: DataFrame, customers: DataFrame, products: DataFrame, categories: DataFrame,
     countries: DataFrame, k: int | None = 20,
 ) -> DataFrame:
     """Fact rows with all dimension attributes; the ``k`` newest, or all of them with ``k=None``."""
-    wide = (
-        # The calendar is a few thousand rows.
-        fact.join(F.broadcast(dates.select("date_key", F.col("date").alias("invoice_date"), "year", "month_name")), "date_key")
-        .join(countries.select("country_key", "country_name", "region"), "country_key")
-        .join(
-            products.join(categories, "category_key").select(
-                "product_key", "stock_code", F.col("description").alias("product_name"), "category_name"
-            ),
-            "product_key",
-        )
+    filed = products.join(categories, "category_key").select(
+        "product_key", "stock_code", F.col("description").alias("product_name"), "category_name"
     )
+    calendar = dates.select("date_key", F.col("date").alias("invoice_date"), "year", "month_name")
+    places = countries.select("country_key", "country_name", "region")
+    rows = fact
     if k is not None:
-        # The customer is optional, so the newest rows are known before looking it up.
-        wide = wide.orderBy(F.col("sales_key").desc()).limit(k)
-    named = wide.join(customers.select("customer_key", "customer_id"), "customer_key", "left")
-    shown = named.select(
-        "sales_key", "invoice_no", "invoice_date", "year", "month_name", "customer_id", "country_name", "region",
-        "stock_code", "product_name", "category_name", "quantity", "unit_price", "total_amount",
+        # Only rows that every inner join keeps compete; the k winners alone are then looked up.
+        for dim, key in ((calendar, "date_key"), (places, "country_key"), (filed, "product_key")):
+            rows = _without_orphans(rows, dim, key)
+        rows = rows.orderBy(F.col("sales_key").desc()).limit(k)
+    wide = (
+        rows.join(calendar, "date_key").join(places, "country_key").join(filed, "product_key")
+        .join(customers.select("customer_key", "customer_id"), "customer_key", "left")
+        .select(
+            "sales_key", "invoice_no", "invoice_date", "year", "month_name", "customer_id", "country_name", "region",
+            "stock_code", "product_name", "category_name", "quantity", "unit_price", "total_amount",
+        )
     )
-    return shown if k is None else shown.orderBy(F.col("sales_key").desc())
+    return wide if k is None else wide.orderBy(F.col("sales_key").desc())
 
 
 def load_counts(tables: dict[str, DataFrame]) -> DataFrame:

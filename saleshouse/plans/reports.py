@@ -1,8 +1,8 @@
 """Business reports and query patterns over the fact.
 
 Each report reduces the fact by key first and joins the large dimensions (customer, product) to the
-reduced rows. The calendar is joined to the fact directly: it is a few thousand rows, so Spark
-broadcasts it and the join costs no shuffle. Countries are left to Spark's own size check.
+reduced rows. The calendar is joined to the fact directly: a few thousand rows are far below the
+size up to which Spark broadcasts by itself, so that join costs no shuffle. No join is forced.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def _mean_line(name: str = "avg_line_item_value") -> Column:
 
 def dated(fact: DataFrame, dates: DataFrame, *attributes: str) -> DataFrame:
     """Fact rows with calendar attributes; days outside the calendar drop out."""
-    return fact.join(F.broadcast(dates.select("date_key", *attributes)), "date_key")
+    return fact.join(dates.select("date_key", *attributes), "date_key")
 
 
 def _whole(value: str):

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import percent
 from ..functions.fixed_values import NULL_TOKENS, SOURCE_COLUMNS
-from ..operators.storage import materialize
+from ..operators.storage import broadcast_if_small, materialize
 
 RAW_COLUMNS = list(SOURCE_COLUMNS.values())
 _BAD = "corrupt_text"
@@ -21,6 +22,9 @@ _CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "mode
 CSV_FILES = r".*\.csv(\.gz|\.bz2)?$"
 PARQUET_FILES = r".*\.parquet$"
 
+# One row per file or file split is far below this; a broadcast of so many rows stays near 100 MB.
+_MAX_BROADCAST_ROWS = 1_000_000
+
 HISTORY_SCHEMA = (
     "file_name string, status string, row_count bigint, row_parsed bigint, error_count bigint, "
     "first_error_message string, first_error_line_number bigint, last_load_time timestamp_ntz"
@@ -125,6 +129,7 @@ def number_rows(scanned: DataFrame) -> DataFrame:
     # One row per split of one file.
     earlier = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("file_name", "block", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    starts = broadcast_if_small(materialize(starts, "csv-splits"), _MAX_BROADCAST_ROWS)
     return (
         stored.join(starts, ["file_name", "block"])
         .withColumn("file_row_number", F.col("before") + F.col("scan_id") - F.col("first_id") + 1)
@@ -161,13 +166,16 @@ def apply_error_policy(parsed: DataFrame, policy: str) -> tuple[DataFrame, DataF
         )
         .withColumn("skipped", _skip_rule(policy))
     )
+    files = materialize(files, "file-counts")
     if policy == "ABORT_STATEMENT":
         first = files.where("skipped").orderBy("file_name").limit(1).collect()
         if first:
             raise ValueError(f"bad row {first[0].first_error_line_number} in {first[0].file_name}")
     good = parsed.where(~bad)
-    kept = good if policy == "CONTINUE" else good.join(files.where("skipped"), "file_name", "left_anti")
-    return kept, files
+    if policy == "CONTINUE":
+        return good, files
+    skipped = broadcast_if_small(files.where("skipped").select("file_name"), _MAX_BROADCAST_ROWS)
+    return good.join(skipped, "file_name", "left_anti"), files
 
 
 def _history(listed: DataFrame, files: DataFrame) -> DataFrame:
@@ -280,13 +288,11 @@ def sample(raw: DataFrame, rows: int = 10) -> DataFrame:
 
 
 def country_distribution(raw: DataFrame, k: int = 10) -> DataFrame:
-    from ..functions.columns import percent
-
     counts = raw.groupBy("country").agg(F.count(F.lit(1)).alias("transaction_count"))
-    # One row per country.
-    everything = Window.partitionBy()
+    # Countries are not validated in raw, so their number has no bound: the total is a scalar, not a window.
+    every = raw.agg(F.count(F.lit(1))).scalar()
     return (
-        counts.withColumn("percentage", percent(F.col("transaction_count"), F.sum("transaction_count").over(everything)))
+        counts.withColumn("percentage", percent(F.col("transaction_count"), every))
         .orderBy(F.col("transaction_count").desc(), "country")
         .limit(k)
     )
