@@ -2,9 +2,10 @@
 
 Spark runs ``row_number() over (order by x)`` in one task. Here rows are range-partitioned and
 sorted, so partition p holds rows that all precede those of partition p+1. The sorted rows are
-written once (range bounds are sampled, so a recomputation could place rows differently), each
-partition's size is counted, and the prefix sum of those sizes turns a local position into a global
-one. Only that prefix sum, one row per range partition, is ever in a single task.
+written once (range bounds are sampled, so a recomputation could place rows differently) and each
+partition's size is counted. The prefix sums of those sizes turn a local position into a global
+one. Only these sums, one number per range partition, pass through the driver; they travel in the
+plan as a literal, so a numbered table stays a plain scan and an unused number costs nothing.
 
 The order passed in must be total (end it with a unique column), so that a value shared by a third
 of all rows is still split over many partitions.
@@ -13,6 +14,9 @@ of all rows is still split over many partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
+from itertools import accumulate
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,7 +24,6 @@ from pyspark.sql import functions as F
 from .storage import materialize
 
 _POS = "__pos"
-_PART = "__part"
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above, row index below
 
 
@@ -33,64 +36,57 @@ def range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _placed(ranged: DataFrame, label: str) -> DataFrame:
-    return materialize(ranged, label).withColumn(_PART, F.shiftright(F.col(_POS), _LOCAL_BITS))
+def _part() -> Column:
+    return F.shiftright(F.col(_POS), _LOCAL_BITS).cast("int")
 
 
-def _before(per_part: DataFrame, value: str) -> DataFrame:
-    """Sum of ``value`` over all earlier partitions, and over all partitions."""
-    everything = Window.orderBy(_PART)
-    earlier = everything.rowsBetween(Window.unboundedPreceding, -1)
-    total = everything.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row per range partition: at most spark.sql.shuffle.partitions rows.
-    return F.broadcast(
-        per_part.select(
-            _PART,
-            F.coalesce(F.sum(value).over(earlier), F.lit(0)).alias("__before"),
-            F.sum(value).over(total).alias("__total"),
-        )
-    )
-
+def _sum_before(stored: DataFrame, value: Column, type_: str) -> tuple[Column, object]:
+    """Sum of ``value`` over all earlier partitions, as a column, and over all partitions.
 
-def number_ranged(ranged: DataFrame, name: str, label: str = "numbered", total: str | None = None) -> DataFrame:
-    """Row numbers 1..N for the output of :func:`range_sorted` (or a row-wise projection of it)."""
-    placed = _placed(ranged, label)
-    offsets = _before(placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")), "n")
+    The driver sees one row per range partition: at most ``spark.sql.shuffle.partitions``.
+    """
+    sums = {row.part: row.total for row in stored.groupBy(_part().alias("part")).agg(F.sum(value).alias("total")).collect()}
+    values = [sums.get(part) or 0 for part in range(max(sums, default=0) + 1)]
+    upto = list(accumulate(values))
+    # One text literal, folded to one array literal when the plan is optimized.
+    texts = F.split(F.lit(",".join(str(v) for v in [0, *upto[:-1]])), ",")
+    return F.get(texts.cast(f"array<{type_}>"), _part()), upto[-1]
+
+
+def number_ranged(ranged: DataFrame, name: str, label: str = "numbered") -> tuple[DataFrame, int]:
+    """Row numbers 1..N for the output of :func:`range_sorted` (or a row-wise projection of it), and N."""
+    stored = materialize(ranged, label)
+    before, rows = _sum_before(stored, F.lit(1), "bigint")
     local = F.col(_POS).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    numbered = placed.join(offsets, _PART).withColumn(name, F.col("__before") + local + 1)
-    if total:
-        numbered = numbered.withColumn(total, F.col("__total"))
-    return numbered.drop(_PART, _POS, "__before", "__total")
+    return stored.withColumn(name, before + local + 1).drop(_POS), int(rows)
 
 
-def with_row_number(df: DataFrame, order: Sequence[Column], name: str, total: str | None = None) -> DataFrame:
-    return number_ranged(range_sorted(df, order), name, total=total)
+def with_row_number(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    return number_ranged(range_sorted(df, order), name)[0]
 
 
 def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str) -> DataFrame:
     """NTILE: the first N mod n buckets hold one row more than the others."""
-    numbered = with_row_number(df, order, "__row", total="__rows")
-    zero_based = F.col("__row") - 1
-    small = F.expr(f"__rows div {buckets}")
-    extra = F.col("__rows") % buckets
+    numbered, rows = number_ranged(range_sorted(df, order), "__row")
+    small, extra = divmod(rows, buckets)
     in_large = extra * (small + 1)
-    tile = F.when(zero_based < in_large, F.floor(zero_based / (small + 1))).otherwise(
-        extra + F.floor((zero_based - in_large) / F.greatest(small, F.lit(1)))
+    tile = F.when(F.col("__row") <= in_large, F.ceil(F.col("__row") / (small + 1))).otherwise(
+        extra + F.ceil((F.col("__row") - in_large) / max(small, 1))
     )
-    return numbered.withColumn(name, (tile + 1).cast("int")).drop("__row", "__rows")
+    return numbered.withColumn(name, tile.cast("int")).drop("__row")
+
+
+def _running(df: DataFrame, order: Sequence[Column], value: str, name: str) -> tuple[DataFrame, object]:
+    type_ = df.select(F.sum(value)).schema[0].dataType.simpleString()
+    stored = materialize(range_sorted(df, order), "running")
+    before, total = _sum_before(stored, F.col(value), type_)
+    local = Window.partitionBy(_part()).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
+    return stored.withColumn(name, (before + F.sum(value).over(local)).cast(type_)).drop(_POS), total
 
 
 def with_running_total(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
     """Running total over the whole table, for rows whose order columns are unique."""
-    placed = _placed(range_sorted(df, order), "running")
-    offsets = _before(placed.groupBy(_PART).agg(F.sum(value).alias("s")), "s")
-    local = Window.partitionBy(_PART).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        placed.withColumn("__local", F.sum(value).over(local))
-        .join(offsets, _PART)
-        .withColumn(name, F.col("__before") + F.col("__local"))
-        .drop(_PART, _POS, "__before", "__total", "__local")
-    )
+    return _running(df, order, value, name)[0]
 
 
 def with_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
@@ -121,17 +117,15 @@ def exact_percentiles(df: DataFrame, column: str, fractions: dict[str, str]) ->
         .groupBy(F.col(column).cast("decimal(20,6)").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running = with_running_total(counted, [F.col("v")], "n", "upto")
-    total = running.agg(F.max("upto")).scalar()
-    ranked = running.select("v", "upto", total.alias("rows"))
+    running, total = _running(counted, [F.col("v")], "n", "upto")
     picks, outputs = [], []
     for name, fraction in fractions.items():
-        position = ((F.col("rows") - 1).cast("decimal(15,0)") * F.lit(fraction).cast("decimal(4,3)"))
+        position = (max(total, 1) - 1) * Decimal(fraction)
+        below = int(position)
         picks += [
-            F.min(F.when(F.col("upto") > F.floor(position), F.col("v"))).alias(f"{name}_lo"),
-            F.min(F.when(F.col("upto") > F.ceil(position), F.col("v"))).alias(f"{name}_hi"),
-            F.max(position - F.floor(position)).alias(f"{name}_w"),
+            F.min(F.when(F.col("upto") > below, F.col("v"))).alias(f"{name}_low"),
+            F.min(F.when(F.col("upto") > ceil(position), F.col("v"))).alias(f"{name}_high"),
         ]
-        low, high, weight = (F.col(f"{name}_{part}") for part in ("lo", "hi", "w"))
-        outputs.append((low + (high - low) * weight).cast("decimal(20,6)").alias(name))
-    return ranked.agg(*picks).select(*outputs)
+        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
+        outputs.append((low + (high - low) * F.lit(position - below)).cast("decimal(20,6)").alias(name))
+    return running.agg(*picks).select(*outputs)

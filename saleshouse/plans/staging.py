@@ -67,7 +67,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     """
     present = raw.where(F.col("invoice_no").isNotNull())
     ranged = range_sorted(present, [F.col(c).asc_nulls_first() for c in ROW_ORDER])
-    numbered = number_ranged(parse(ranged, keep=("__pos",)), "_source_row_id", "stg_orders")
+    numbered, _ = number_ranged(parse(ranged, keep=("__pos",)), "_source_row_id", "stg_orders")
     return numbered.withColumn("_processed_at", F.current_timestamp().cast("timestamp_ntz"))
 
 

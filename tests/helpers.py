@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import cached_property
+
 from saleshouse.plans import dims, fact, staging
 
 
@@ -20,19 +23,39 @@ def line(invoice="1", code="A", quantity="1", day="2010-01-05 10:00:00", price="
 
 
 class Shop:
-    """All layers over a few raw rows, without a written warehouse."""
+    """Layers over a few raw rows, each built when a test asks for it."""
 
     def __init__(self, spark, rows, mode="one_current", years=(2009, 2013)):
-        from datetime import date
-
-        self.raw = raw(spark, rows)
-        self.stg = staging.stg_orders(self.raw).cache()
-        self.dates = dims.dim_date(spark, date(years[0], 1, 1), date(years[1], 12, 31))
-        self.countries = dims.dim_country(self.stg).cache()
-        self.categories = dims.dim_category(spark)
-        self.customers = dims.dim_customer(self.stg, self.countries, mode).cache()
-        self.products = dims.dim_product(self.stg).cache()
-        self.fact = fact.fact_sales(self.stg, self.customers, self.products, self.countries, mode).cache()
+        self.spark, self.raw, self.mode, self.years = spark, raw(spark, rows), mode, years
+
+    @cached_property
+    def stg(self):
+        return staging.stg_orders(self.raw)
+
+    @cached_property
+    def dates(self):
+        first, last = self.years
+        return dims.dim_date(self.spark, date(first, 1, 1), date(last, 12, 31))
+
+    @cached_property
+    def countries(self):
+        return dims.dim_country(self.stg)
+
+    @cached_property
+    def categories(self):
+        return dims.dim_category(self.spark)
+
+    @cached_property
+    def customers(self):
+        return dims.dim_customer(self.stg, self.countries, self.mode)
+
+    @cached_property
+    def products(self):
+        return dims.dim_product(self.stg)
+
+    @cached_property
+    def fact(self):
+        return fact.fact_sales(self.stg, self.customers, self.products, self.countries, self.mode).cache()
 
 
 def tuples(df, *columns):

@@ -29,10 +29,9 @@ def make(seed, baskets=60, items=25, giants=2):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("least,k,small,giants", [(2, 10, 64, 2), (3, 10, 3, 2), (4, None, 3, 2), (2, 5, 2, 6), (5, 7, 4, 4), (1, 400, 3, 3)])
-def test_equals_enumeration(spark, seed, least, k, small, giants):
-    rows = make(seed, giants=giants)
+def test_equals_enumeration(spark, least, k, small, giants):
+    rows = make(least * 7 + small, giants=giants)
     df = spark.createDataFrame(rows, "b int, i int")
     got = [tuple(r) for r in pairs.frequent_pairs(df, "b", "i", least, k, small).collect()]
     want = brute(rows, least, k)
