@@ -13,6 +13,7 @@ of all rows is still split over many partitions.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 from decimal import Decimal
 from itertools import accumulate
@@ -40,25 +41,24 @@ def _part() -> Column:
     return F.shiftright(F.col(_POS), _LOCAL_BITS).cast("int")
 
 
-def _sum_before(stored: DataFrame, value: Column, type_: str) -> tuple[Column, object]:
-    """Sum of ``value`` over all earlier partitions, as a column, and over all partitions.
-
-    The driver sees one row per range partition: at most ``spark.sql.shuffle.partitions``.
-    """
+def _part_sums(stored: DataFrame, value: Column) -> list:
+    """Sum of ``value`` per range partition: at most ``spark.sql.shuffle.partitions`` numbers."""
     sums = {row.part: row.total for row in stored.groupBy(_part().alias("part")).agg(F.sum(value).alias("total")).collect()}
-    values = [sums.get(part) or 0 for part in range(max(sums, default=0) + 1)]
-    upto = list(accumulate(values))
-    # One text literal, folded to one array literal when the plan is optimized.
-    texts = F.split(F.lit(",".join(str(v) for v in [0, *upto[:-1]])), ",")
-    return F.get(texts.cast(f"array<{type_}>"), _part()), upto[-1]
+    return [sums.get(part) or 0 for part in range(max(sums, default=0) + 1)]
+
+
+def _sum_before(sums: list, type_: str) -> Column:
+    """Sum of all earlier partitions: one text literal, folded to an array when the plan is optimized."""
+    texts = F.split(F.lit(",".join(str(v) for v in [0, *accumulate(sums[:-1])])), ",")
+    return F.get(texts.cast(f"array<{type_}>"), _part())
 
 
 def number_ranged(ranged: DataFrame, name: str, label: str = "numbered") -> tuple[DataFrame, int]:
     """Row numbers 1..N for the output of :func:`range_sorted` (or a row-wise projection of it), and N."""
     stored = materialize(ranged, label)
-    before, rows = _sum_before(stored, F.lit(1), "bigint")
+    sizes = _part_sums(stored, F.lit(1))
     local = F.col(_POS).bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
-    return stored.withColumn(name, before + local + 1).drop(_POS), int(rows)
+    return stored.withColumn(name, _sum_before(sizes, "bigint") + local + 1).drop(_POS), sum(sizes)
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
@@ -76,17 +76,16 @@ def with_ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str)
     return numbered.withColumn(name, tile.cast("int")).drop("__row")
 
 
-def _running(df: DataFrame, order: Sequence[Column], value: str, name: str) -> tuple[DataFrame, object]:
-    type_ = df.select(F.sum(value)).schema[0].dataType.simpleString()
-    stored = materialize(range_sorted(df, order), "running")
-    before, total = _sum_before(stored, F.col(value), type_)
-    local = Window.partitionBy(_part()).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0)
-    return stored.withColumn(name, (before + F.sum(value).over(local)).cast(type_)).drop(_POS), total
+def _local_running(value: str) -> Column:
+    return F.sum(value).over(Window.partitionBy(_part()).orderBy(_POS).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def with_running_total(df: DataFrame, order: Sequence[Column], value: str, name: str) -> DataFrame:
     """Running total over the whole table, for rows whose order columns are unique."""
-    return _running(df, order, value, name)[0]
+    type_ = df.select(F.sum(value)).schema[0].dataType.simpleString()
+    stored = materialize(range_sorted(df, order), "running")
+    before = _sum_before(_part_sums(stored, F.col(value)), type_)
+    return stored.withColumn(name, (before + _local_running(value)).cast(type_)).drop(_POS)
 
 
 def with_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
@@ -109,23 +108,35 @@ def exact_percentiles(df: DataFrame, column: str, fractions: dict[str, str]) ->
     """One row with the interpolated percentiles (PERCENTILE_CONT) of ``column``.
 
     ``fractions`` maps output names to decimal texts such as ``"0.99"``. Values are counted first
-    (map-side combined), the counts are accumulated in value order, and the two values around each
-    position are picked, so no task ever holds the whole value list.
+    (map-side combined) and the counts are put in value order. The counts per range partition tell
+    which partitions hold the values on either side of each position; only those few are read again.
     """
     counted = (
         df.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("decimal(20,6)").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    running, total = _running(counted, [F.col("v")], "n", "upto")
-    picks, outputs = [], []
+    stored = materialize(range_sorted(counted, [F.col("v")]), "values")
+    upto = list(accumulate(_part_sums(stored, F.col("n"))))
+    rows = upto[-1]
+
+    picks, outputs, wanted = [], [], set()
+
+    def value_at(position: int, name: str) -> None:
+        part = min(bisect_right(upto, position), len(upto) - 1)
+        wanted.add(part)
+        left = position - (upto[part - 1] if part else 0)
+        picks.append(F.min(F.when((F.col("part") == part) & (F.col("running") > left), F.col("v"))).alias(name))
+
     for name, fraction in fractions.items():
-        position = (max(total, 1) - 1) * Decimal(fraction)
-        below = int(position)
-        picks += [
-            F.min(F.when(F.col("upto") > below, F.col("v"))).alias(f"{name}_low"),
-            F.min(F.when(F.col("upto") > ceil(position), F.col("v"))).alias(f"{name}_high"),
-        ]
+        position = (max(rows, 1) - 1) * Decimal(fraction)
+        value_at(int(position), f"{name}_low")
+        value_at(ceil(position), f"{name}_high")
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        outputs.append((low + (high - low) * F.lit(position - below)).cast("decimal(20,6)").alias(name))
-    return running.agg(*picks).select(*outputs)
+        outputs.append((low + (high - low) * F.lit(position - int(position))).cast("decimal(20,6)").alias(name))
+
+    needed = F.lit(False)
+    for part in sorted(wanted):  # position ranges, so that Parquet statistics skip the other files
+        needed = needed | F.col(_POS).between(part << _LOCAL_BITS, ((part + 1) << _LOCAL_BITS) - 1)
+    near = stored.where(needed).select("v", _part().alias("part"), _local_running("n").alias("running"))
+    return near.agg(*picks).select(*outputs)

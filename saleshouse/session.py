@@ -14,12 +14,15 @@ SETTINGS = {
 }
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "saleshouse") -> SparkSession:
+def local_session(
+    cores: str = "8", shuffle_partitions: int = 8, app: str = "saleshouse", broadcast_limit: str = "10m"
+) -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        .config("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
