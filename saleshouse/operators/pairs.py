@@ -24,6 +24,10 @@ def _with_support(rows: DataFrame, least: int) -> DataFrame:
     return rows.join(frequent.select("item"), "item", "left_semi")
 
 
+def _sizes(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
+
+
 def _heaviest(sizes: DataFrame, at_most: int, small: int) -> tuple[int, int] | None:
     """Smallest size above ``small`` reached by at most ``at_most`` baskets, and how many reach it."""
     by_size = sizes.where(F.col("size") > small).groupBy("size").agg(F.count(F.lit(1)).alias("n"))
@@ -53,17 +57,20 @@ def frequent_pairs(baskets: DataFrame, basket: str, item: str, min_support: int,
         baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item")).where("basket is not null and item is not null").distinct(),
         "baskets",
     )
-    kept = materialize(_with_support(rows, min_support), "frequent")
-    sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
     floor, heavy = min_support, None
-    if (sizes.agg(F.max("size")).first()[0] or 0) > small:
+    if (_sizes(rows).agg(F.max("size")).first()[0] or 0) <= small:
+        kept = _with_support(rows, floor)
+    else:
+        kept = materialize(_with_support(rows, floor), "frequent")
+        sizes = _sizes(kept)
         if k is not None:
             few = kept.join(sizes.where(F.col("size") <= small), "basket", "left_semi")
-            best = _pair_counts(few).orderBy(F.col("n").desc()).limit(k).agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("least")).first()
+            top = _pair_counts(few).orderBy(F.col("n").desc()).limit(k)
+            best = top.agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("least")).first()
             if best.found == k and best.least > floor:
                 floor = best.least
                 kept = materialize(_with_support(kept, floor), "frequent")
-                sizes = kept.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
+                sizes = _sizes(kept)
         heavy = _heaviest(sizes, floor - 1, small)
     if heavy is None:
         counts = _pair_counts(kept).where(F.col("n") >= floor)

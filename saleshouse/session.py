@@ -14,6 +14,25 @@ SETTINGS = {
 }
 
 
+# Aim for shuffle partitions of this size: they sort in memory and keep the task count moderate.
+_PARTITION_BYTES = 256 << 20
+
+
+def cluster_settings(input_bytes: int) -> dict[str, str]:
+    """Settings for a job that shuffles about ``input_bytes``: 100 TB give some 400,000 partitions.
+
+    AQE merges partitions that turn out small, so the number may be generous; it cannot split a
+    partition of a range sort, so it must not be too low.
+    """
+    partitions = max(200, -(-input_bytes // _PARTITION_BYTES))
+    return SETTINGS | {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def local_session(
     cores: str = "8", shuffle_partitions: int = 8, app: str = "saleshouse", broadcast_limit: str = "10m"
 ) -> SparkSession:

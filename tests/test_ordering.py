@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from saleshouse.operators import ordering as o
+from saleshouse.session import cluster_settings
 
 
 @pytest.fixture(scope="module")
@@ -81,6 +82,12 @@ def test_percentiles_of_nothing(skewed):
     assert o.exact_percentiles(skewed.where("id < 0"), "m", {"a": "0.5"}).first().a is None
 
 
+def test_cluster_settings_follow_the_input():
+    settings = cluster_settings(100 << 40)
+    assert settings["spark.sql.shuffle.partitions"] == "409600"
+    assert cluster_settings(1)["spark.sql.shuffle.partitions"] == "200"
+
+
 def test_rows_are_spread(skewed):
     """Even one repeated sort value is split over partitions, because the order is total."""
     constant = skewed.withColumn("v", F.lit(1))
