@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions import columns as C
 from .functions import fixed_values as V
 from .operators import scd2, storage
 from .plans import analytics, dims, fact, quality, querylog, reports, staging, summaries
@@ -32,6 +33,7 @@ LATE_DIMENSION = "1995-02-28"
 SLICE = (19960101, 19960331)
 MERGE_YEAR = (19960101, 19961231)
 LOOKUP = {"invoice": "100", "customer": 1, "product": "100", "country": "NATION_7", "text": "ring", "log": "purchase"}
+TRACE = ("sales-1998.csv", 100000, 105000)
 LOG_PAIR = ("10", "20")
 SAMPLE_DAYS = [date(1995, 1, 1), date(1996, 6, 15), date(1998, 12, 25), date(2000, 12, 31)]
 
@@ -186,6 +188,20 @@ def _mv_refresh(w: Warehouse, spark: SparkSession) -> DataFrame:
     return refreshed.drop("customer_key")
 
 
+def _mv_refresh_products(w: Warehouse, spark: SparkSession) -> DataFrame:
+    """The same for products."""
+    first, last = SLICE
+    slice_rows = w.clustered_fact.where(layout.month_filter(first, last))
+    after = w.fact.where(~F.col("date_key").between(first, last) | (F.col("quantity") > 5))
+
+    def recompute(keys: DataFrame) -> DataFrame:
+        return summaries.product_summary(after.join(keys, "product_key", "left_semi"), w.products, w.categories, w.dates)
+
+    return storage.publish(
+        summaries.refresh_keyed(w.product_summary, "product_key", slice_rows, recompute), storage.fresh_path(spark, "product-summary")
+    )
+
+
 def _mv_refresh_daily(w: Warehouse, spark: SparkSession) -> DataFrame:
     first, last = SLICE
     path = storage.fresh_path(spark, "daily-target")
@@ -221,9 +237,9 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(kind, (T.IntegerType, T.ShortType, T.ByteType)):
             column = column.cast("bigint")
         elif isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            column = C.moment_text(column)
         elif isinstance(kind, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = column.cast("string")
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -273,6 +289,7 @@ def queries() -> dict[str, Query]:
         "src_incremental": _plain(_incremental),
         "src_incremental_stream": _plain(_stream),
         "src_trace_row": _over(lambda w: files.trace_invoice(w.raw, LOOKUP["invoice"])),
+        "src_trace_row_range": _over(lambda w: files.trace_rows(w.raw, *TRACE)),
         "src_load_batches": _over(lambda w: files.load_batches(w.raw)),
         "raw_row_count": _over(lambda w: files.row_count(w.raw)),
         "raw_nulls": _over(lambda w: files.null_counts(w.raw)),
@@ -453,6 +470,7 @@ def queries() -> dict[str, Query]:
         "mv_product_summary": _over(lambda w: w.product_summary),
         "mv_daily_sales": _over(lambda w: w.daily),
         "mv_refresh": _with(lambda w, s, d: _mv_refresh(w, s)),
+        "mv_refresh_products": _with(lambda w, s, d: _mv_refresh_products(w, s)),
         "mv_refresh_daily": _with(lambda w, s, d: _mv_refresh_daily(w, s)),
         "opt_top_customers": _over(lambda w: summaries.top_customers(w.customer_summary, _as_of())),
         "opt_top_products": _over(lambda w: summaries.top_products(w.product_summary)),

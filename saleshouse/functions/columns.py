@@ -39,6 +39,16 @@ def moment(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def moment_text(moment: Column) -> Column:
+    """Text to the second. A format function would go through the session's time zone and its gaps."""
+    return F.substring(moment.cast("timestamp_ntz").cast("string"), 1, 19)
+
+
+def hour_start(moment: Column) -> Column:
+    """Start of the hour of a time without zone."""
+    return moment - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(moment), F.extract(F.lit("SECOND"), moment))
+
+
 def date_key(date: Column) -> Column:
     """YYYYMMDD as int."""
     return F.year(date) * 10000 + F.month(date) * 100 + F.dayofmonth(date)

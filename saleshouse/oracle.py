@@ -272,7 +272,7 @@ _PRODUCT_SUMMARY = f"""SELECT product_key, stock_code, description, {_CATEGORY}
                               sum(quantity) AS total_quantity_sold, {_REVENUE} AS total_revenue,
                               {cents_ratio('sum(price_c)', 'count(*)', 6)} AS avg_selling_price,
                               count(DISTINCT customer_key) AS unique_customers, min(date) AS first_sale_date, max(date) AS last_sale_date
-                       FROM star GROUP BY product_key, stock_code, description"""
+                       FROM star WHERE {{where}} GROUP BY product_key, stock_code, description"""
 _AFTER_RELOAD = f"(date_key NOT {_SLICE} OR quantity > 5)"
 
 
@@ -396,6 +396,10 @@ def _source_answers() -> dict[str, tuple[str, str]]:
         "src_incremental": (_RAW_SPEC, f"SELECT * FROM raw WHERE {good} AND file_name >= 'sales-1999.csv'"),
         "src_incremental_stream": (_RAW_SPEC, f"SELECT * FROM raw WHERE {good}"),
         "src_trace_row": ("file_name:s file_row_number:i invoice_no:s", f"SELECT * FROM raw WHERE invoice_no = {_text(K.LOOKUP['invoice'])}"),
+        "src_trace_row_range": (
+            f"{_RAW_SPEC} load_timestamp:t file_name:s file_row_number:i",
+            f"SELECT * FROM raw WHERE file_name = '{K.TRACE[0]}' AND file_row_number BETWEEN {K.TRACE[1]} AND {K.TRACE[2]}",
+        ),
         "src_load_batches": (
             "load_hour:t rows_loaded:i",
             "SELECT date_trunc('hour', load_timestamp) AS load_hour, count(*) AS rows_loaded FROM raw GROUP BY 1",
@@ -1014,6 +1018,7 @@ def _analytics_answers() -> dict[str, tuple[str, str]]:
 def _summary_answers() -> dict[str, tuple[str, str]]:
     daily = _DAILY.format(rows="star")
     everyone = _CUSTOMER_SUMMARY.format(where="TRUE")
+    every_product = _PRODUCT_SUMMARY.format(where="TRUE")
     mean_day = cents_ratio("sum(c)", "count(*)", 6)
     per_customer = "(SELECT count(DISTINCT customer_id) FROM star WHERE customer_key IS NOT NULL)"
     return {
@@ -1021,7 +1026,12 @@ def _summary_answers() -> dict[str, tuple[str, str]]:
         "mv_product_summary": (
             "product_key:i stock_code:s description:s category_name:s times_ordered:i total_quantity_sold:i total_revenue:f avg_selling_price:f "
             "unique_customers:i first_sale_date:d last_sale_date:d",
-            _PRODUCT_SUMMARY,
+            every_product,
+        ),
+        "mv_refresh_products": (
+            "product_key:i stock_code:s description:s category_name:s times_ordered:i total_quantity_sold:i total_revenue:f avg_selling_price:f "
+            "unique_customers:i first_sale_date:d last_sale_date:d",
+            _PRODUCT_SUMMARY.format(where=_AFTER_RELOAD),
         ),
         "mv_daily_sales": (_DAILY_SPEC, daily),
         "mv_refresh": (_CUSTOMER_SUMMARY_SPEC, _CUSTOMER_SUMMARY.format(where=_AFTER_RELOAD)),
@@ -1032,7 +1042,7 @@ def _summary_answers() -> dict[str, tuple[str, str]]:
         ),
         "opt_top_products": (
             "stock_code:s description:s category_name:s total_revenue:f total_quantity_sold:i unique_customers:i",
-            f"SELECT * FROM ({_PRODUCT_SUMMARY}) ORDER BY total_revenue DESC, stock_code LIMIT 20",
+            f"SELECT * FROM ({every_product}) ORDER BY total_revenue DESC, stock_code LIMIT 20",
         ),
         "opt_monthly": (
             "year:i month_name:s monthly_revenue:f monthly_orders:i avg_daily_revenue:f",

@@ -64,7 +64,7 @@ def scorecard(raw: DataFrame, stg: DataFrame) -> DataFrame:
     transfer = F.when(c("rows") == c("raw_rows"), V.PASSED).when(c("rows") >= c("raw_rows") * 0.99, V.WARNING).otherwise(V.FAILED)
     money = F.when(c("revenue") > 0, V.PASSED).when(c("revenue") == 0, V.WARNING).otherwise(V.FAILED)
     ordered = F.when(c("last") > c("first"), V.PASSED).otherwise(V.FAILED)
-    span = F.concat(F.date_format("first", "yyyy-MM-dd"), F.lit(" to "), F.date_format("last", "yyyy-MM-dd"))
+    span = F.concat(F.to_date("first").cast("string"), F.lit(" to "), F.to_date("last").cast("string"))
     checks = [
         (V.SCORECARD_TITLE, None, None, None, None),
         (ingest, "Raw → Staging Records", F.concat(text(c("raw_rows")), F.lit(" → "), text(c("rows"))), "100% transfer", transfer),
@@ -168,7 +168,7 @@ def top_products(stg: DataFrame, k: int = 10) -> DataFrame:
 
 def monthly(stg: DataFrame) -> DataFrame:
     return (
-        valid(stg).groupBy(F.date_format("invoice_date", "yyyy-MM").alias("year_month"))
+        valid(stg).groupBy(F.substring(C.moment_text(F.col("invoice_date")), 1, 7).alias("year_month"))
         .agg(_n("order_count"), F.count_distinct("customer_id").alias("unique_customers"), _revenue("monthly_revenue"),
              _mean_amount("avg_order_value"))
         .orderBy("year_month")

@@ -106,8 +106,8 @@ def issue_breakdown(stg: DataFrame) -> DataFrame:
 def date_range(stg: DataFrame) -> DataFrame:
     ends = valid(stg).agg(F.min("invoice_date").alias("a"), F.max("invoice_date").alias("b"))
     texts = {
-        "Earliest Transaction": F.date_format("a", "yyyy-MM-dd HH:mm:ss"),
-        "Latest Transaction": F.date_format("b", "yyyy-MM-dd HH:mm:ss"),
+        "Earliest Transaction": C.moment_text(F.col("a")),
+        "Latest Transaction": C.moment_text(F.col("b")),
         "Date Range (Days)": F.datediff("b", "a"),
     }
     return metric_rows(ends, texts, "string")

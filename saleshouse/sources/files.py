@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import percent
+from ..functions import columns as C
 from ..functions.fixed_values import NULL_TOKENS, SOURCE_COLUMNS
 from ..operators.storage import broadcast_if_small, materialize
 
@@ -260,8 +260,7 @@ def trace_rows(raw: DataFrame, file_name: str, first: int, last: int) -> DataFra
 
 
 def load_batches(raw: DataFrame) -> DataFrame:
-    hour = F.date_trunc("hour", "load_timestamp").cast("timestamp_ntz")
-    return raw.groupBy(hour.alias("load_hour")).agg(F.count(F.lit(1)).alias("rows_loaded")).orderBy("load_hour")
+    return raw.groupBy(C.hour_start(F.col("load_timestamp")).alias("load_hour")).agg(F.count(F.lit(1)).alias("rows_loaded")).orderBy("load_hour")
 
 
 def row_count(raw: DataFrame) -> DataFrame:
@@ -292,7 +291,7 @@ def country_distribution(raw: DataFrame, k: int = 10) -> DataFrame:
     # Countries are not validated in raw, so their number has no bound: the total is a scalar, not a window.
     every = raw.agg(F.count(F.lit(1))).scalar()
     return (
-        counts.withColumn("percentage", percent(F.col("transaction_count"), every))
+        counts.withColumn("percentage", C.percent(F.col("transaction_count"), every))
         .orderBy(F.col("transaction_count").desc(), "country")
         .limit(k)
     )

@@ -37,7 +37,7 @@ def raw_transactions(spark: SparkSession, folder: str, moving_customers: bool =
             .otherwise(units.cast("string"))
             .alias("quantity"),
             F.when(order % 101 == 0, "not a date")
-            .otherwise(F.date_format(ordered, "yyyy-MM-dd HH:mm:ss"))
+            .otherwise(ordered.cast("string"))
             .alias("invoice_date"),
             F.when(part % 97 == 0, "n/a")
             .otherwise(F.col("l_extendedprice").cast("decimal(10,2)").cast("string"))
