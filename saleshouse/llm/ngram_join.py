@@ -32,6 +32,7 @@ from .tables import SPACES, Scratch, SpanHasher, mix, read, runs, text_bytes, te
 N = 5
 PERCENT = 80  # least similarity
 COMMON = 1 << 20
+_COUNT_AT_ONCE = 4 << 20  # n-grams that a task counts at once
 _BLOCK = 256  # sets in one trie
 _HIGH = np.uint64(1) << np.uint64(63)
 
@@ -69,31 +70,36 @@ def distinct_sorted(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return values[new], np.concatenate(([0], np.cumsum(new)))[starts]
 
 
-def common_ngrams(docs: DataFrame, n: int) -> np.ndarray:
+def common_ngrams(docs: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
     """The common n-grams over all texts, rarest first: at most ``COMMON``."""
 
     def counts(batches: Iterator[pa.RecordBatch]):
-        hasher = SpanHasher()
+        hasher, held, size = SpanHasher(), [], 0
         for chunk in text_chunks(batches):
-            grams, _ = shingle_sets(chunk["text"], n, hasher)
-            total = len(grams)
-            grams.sort()
-            edges = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True])) if total else np.zeros(1, bool))
-            times = np.diff(edges)
-            many = times >= max(2, total / COMMON)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[edges[:-1]][many].view(np.int64)), pa.array(times[many].astype(np.int64)), pa.array(np.zeros(int(many.sum()), np.int64))],
-                ["gram", "times", "total"],
-            )
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()), pa.array([total], pa.int64())], ["gram", "times", "total"])
+            held.append(shingle_sets(chunk["text"], n, hasher)[0])
+            size += len(held[-1])
+            if size >= _COUNT_AT_ONCE:
+                yield from flush(held)
+                held, size = [], 0
+        yield from flush(held)
+
+    def flush(held: list[np.ndarray]):
+        grams = np.sort(np.concatenate([np.empty(0, np.uint64), *held]))
+        edges = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1], [True]))) if len(grams) else np.zeros(1, np.int64)
+        times = np.diff(edges)
+        many = times >= max(2, len(grams) / COMMON)
+        rows = [*grams[edges[:-1]][many].view(np.int64).tolist(), None], [*times[many].tolist(), len(grams)]
+        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64())], ["gram", "times"])
 
     found = (
-        docs.select("text").mapInArrow(counts, "gram bigint, times bigint, total bigint")
-        .groupBy("gram").agg(F.sum("times").alias("times"), F.sum("total").alias("total"))
+        docs.select("text").mapInArrow(counts, "gram bigint, times bigint")  # a null gram carries the number of all
+        .groupBy("gram").agg(F.sum("times").alias("times"))
     )
-    total = F.coalesce(F.lit(found.where("gram is null").agg(F.sum("total")).first()[0]), F.lit(0))
-    top = found.where(F.col("gram").isNotNull() & (F.col("times") >= F.greatest(F.lit(3), total / COMMON)))
-    pairs = top.select("gram", "times").toArrow()
+    found = scratch.keep(found, "counts")
+    total = found.where("gram is null").agg(F.sum("times")).first()[0] or 0
+    least = max(3, -(-total // COMMON))
+    pairs = found.where(F.col("gram").isNotNull() & (F.col("times") >= least)).select("gram", "times").toArrow()
+    scratch.drop(found)
     grams, times = pairs["gram"].to_numpy().view(np.uint64), pairs["times"].to_numpy()
     return grams[np.lexsort((grams, times))]
 
@@ -178,7 +184,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     spark = docs.sparkSession
     scratch = Scratch(spark)
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    order = spark.sparkContext.broadcast(GlobalOrder(common_ngrams(docs, n)))
+    order = spark.sparkContext.broadcast(GlobalOrder(common_ngrams(docs, n, scratch)))
 
     def index(batches: Iterator[pa.RecordBatch]):
         hasher = SpanHasher()

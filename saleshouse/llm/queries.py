@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from . import ngram_join
+from . import language_id, license_scan, line_dedup, ngram_join, quality_model, quality_rules, sentencepiece_sa, source_mix, url_filter, vector_search
 
 QUERIES = {
+    "op1_url_aliases": url_filter.op1_url_aliases,
+    "op2_multi_index": vector_search.op2_multi_index,
+    "op3_quality_ftrl": quality_model.op3_quality_ftrl,
     "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_source_mix": source_mix.op5_source_mix,
+    "op6_quality_cascade": quality_rules.op6_quality_cascade,
+    "op7_language_zstd": language_id.op7_language_zstd,
+    "op8_license_rules": license_scan.op8_license_rules,
+    "op9_fuzzy_lines": line_dedup.op9_fuzzy_lines,
+    "op10_sentencepiece": sentencepiece_sa.op10_sentencepiece,
 }
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op1_url_aliases": url_filter.SQL,
+    "op6_quality_cascade": quality_rules.SQL,
+}
