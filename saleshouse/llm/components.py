@@ -54,12 +54,15 @@ def linked(
     fits: Callable[[str, str], Column],
     verify: Callable[[DataFrame], DataFrame],
     scratch: Scratch,
+    details: DataFrame | None = None,
+    close: Callable[[str, str], Column] | None = None,
 ) -> DataFrame:
     """(id, label) for the components of the graph that links ids with a common key if ``verify`` confirms them.
 
     ``postings`` holds (key, id, *carried); ``fits`` is a necessary condition on two rows' carried columns, given
     the prefixes of their names; ``verify`` takes candidates (a, b) and returns those that are links.
-    Ids without a link are left out.
+    ``details`` (id, more columns) and ``close``, another necessary condition that also sees them, keep pairs of
+    the last step from becoming rows. Ids without a link are left out.
 
     Emitting all pairs of a key is quadratic where thousands of near copies share it. So the ids of a key are
     first tested against one centre only (of the centres an id meets, the one it shares most keys with), twice
@@ -101,12 +104,17 @@ def linked(
     # What is left: rows of a key in different components. Not paired again: pairs already tested.
     rows = labelled(open_rows.drop("__c", "label"))
     bounds = rows.groupBy("key").agg(F.min("label").alias("__lo"), F.max("label").alias("__hi")).where("__lo <> __hi")
-    rows = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "rest")
+    rows = rows.join(bounds.select("key"), "key", "left_semi")
+    if details is not None:
+        rows = rows.join(details, "id")
+        carried = [*carried, *[c for c in details.columns if c != "id"]]
+    rows = scratch.keep(rows, "rest")
     scratch.drop(open_rows)
+    condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True))
     left = rows.select("key", *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
     right = rows.select("key", *[F.col(c).alias(f"b_{c}") for c in ["id", *carried]])
     pairs = (
-        left.join(right, (left["key"] == right["key"]) & (F.col("a_label") < F.col("b_label")) & fits("a_", "b_"))
+        left.join(right, (left["key"] == right["key"]) & (F.col("a_label") < F.col("b_label")) & condition)
         .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         .distinct()
     )

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import components, linked
@@ -31,7 +31,7 @@ from .tables import SPACES, Scratch, SpanHasher, mix, read, runs, text_bytes, te
 
 N = 5
 PERCENT = 80  # least similarity
-COMMON = 1 << 20
+COMMON = 1 << 22
 _COUNT_AT_ONCE = 4 << 20  # n-grams that a task counts at once
 _BLOCK = 256  # sets in one trie
 _HIGH = np.uint64(1) << np.uint64(63)
@@ -125,21 +125,27 @@ def ordered_sets(texts: pa.ChunkedArray, n: int, order: GlobalOrder, hasher: Spa
     return distinct_sorted(order(grams), starts)
 
 
-def bitmap(keys: np.ndarray) -> bytes:
-    """Parity of the number of keys in each of 2**k >= size places: where two maps differ, the sets differ."""
+def bitmap(keys: np.ndarray) -> np.ndarray:
+    """Parity of the number of keys in each of 2**k >= size places, as 64-bit words: where two maps differ, the sets differ."""
     size = max(64, 1 << max(0, int(len(keys) - 1).bit_length()))
     odd = np.bincount((mix(keys) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def least_difference(one: bytes, two: bytes) -> int:
-    """A lower bound of the number of elements in one of two sets only."""
-    a, b = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
-    while len(a) != len(b):  # two halves folded give the map of half the size
-        if len(a) < len(b):
-            a, b = b, a
-        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
-    return int(np.bitwise_count(a ^ b).sum())
+def maps_allow(one: str, two: str, percent: int) -> Column:
+    """Whether the bitmaps, a lower bound of the difference, leave the similarity in reach. The larger map is folded once:
+    by their sizes, sets that could be similar have maps of one size or of a size and its double."""
+
+    def folded(own: str, other: str) -> Column:
+        half = (F.size(own) / 2).cast("int")
+        halves = F.zip_with(F.slice(own, 1, half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(own) > F.size(other), halves).otherwise(F.col(own))
+
+    a, b = f"{one}map", f"{two}map"
+    differ = F.aggregate(F.zip_with(folded(a, b), folded(b, a), lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda n, x: n + F.bit_count(x))
+    both = F.col(f"{one}n") + F.col(f"{two}n")
+    least = F.floor((percent * both + (99 + percent)) / F.lit(100 + percent))
+    return F.coalesce(differ <= both - 2 * least, F.lit(False))
 
 
 def needed(x: int, y: int, percent: int) -> int:
@@ -198,14 +204,14 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
                     chunk["doc_id"].combine_chunks().cast(pa.int64()),
                     pa.array(sizes),
                     pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in parts]),
-                    pa.array([bitmap(x) for x in parts]),
+                    pa.array([bitmap(x) for x in parts], pa.list_(pa.int64())),
                     pa.array([x[:k].tobytes() for x, k in zip(parts, lead)]),
                 ],
                 ["doc_id", "n_shingles", "print", "map", "lead"],
             )
 
     sets = scratch.keep(
-        docs.mapInArrow(index, "doc_id bigint, n_shingles bigint, print binary, map binary, lead binary"), "sets"
+        docs.mapInArrow(index, "doc_id bigint, n_shingles bigint, print binary, map array<bigint>, lead binary"), "sets"
     )
     classes = sets.where("n_shingles > 0").groupBy("print", "doc_id").agg(F.lit(1)).groupBy("print").agg(F.min("doc_id").alias("rep"))
     of_class = scratch.keep(
@@ -232,7 +238,8 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(pairs, docs, sets, n, percent, order, scratch)
 
-    labels = linked(postings, ["n"], fits, verify, scratch)
+    maps = chosen.select(F.col("doc_id").alias("id"), "map")
+    labels = linked(postings, ["n"], fits, verify, scratch, maps, lambda one, two: maps_allow(one, two, percent))
     # A repeated doc_id with different texts ties its classes together.
     ties = of_class.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     joined = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
@@ -247,16 +254,10 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def verified(pairs, docs, sets, n, percent, order, scratch) -> DataFrame:
     """The pairs (a, b) of documents whose sets have the similarity."""
 
-    def bounded(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            columns = [batch[c].to_pylist() for c in ("a_n", "b_n", "a_map", "b_map")]
-            keep = [least_difference(p, q) <= x + y - 2 * needed(x, y, percent) for x, y, p, q in zip(*columns)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
-
     maps = sets.select("doc_id", "n_shingles", "map").dropDuplicates(["doc_id"])
     for side in ("a", "b"):
         pairs = pairs.join(maps.toDF(side, f"{side}_n", f"{side}_map"), side)
-    pairs = scratch.keep(pairs.select("a", "b", "a_n", "b_n", "a_map", "b_map").mapInArrow(bounded, "a bigint, b bigint"), "bounded")
+    pairs = scratch.keep(pairs.where(maps_allow("a_", "b_", percent)).select("a", "b"), "bounded")
 
     def sets_of(batches: Iterator[pa.RecordBatch]):
         hasher = SpanHasher()

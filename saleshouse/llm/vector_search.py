@@ -9,7 +9,7 @@ that, and the rest is ranked by the floats in double precision.
 
 Inner products are turned into angles by one more component, which fills every stored vector up to the largest norm;
 queries get zero there. The radius is such that it held ``HELD`` of the true neighbours in the sample. A query with
-fewer than k codes in the radius in a block takes the k nearest codes of the block.
+fewer than ``LEAST`` times k codes in the radius in a block takes that many nearest codes of the block.
 
 Every query must meet every block of the index: rows are dealt to blocks of about ``BLOCK`` vectors, queries to blocks of about
 ``QUERIES``; each pair of blocks is a task that builds the block's index and returns k rows a query.
@@ -34,6 +34,7 @@ SAMPLE = 4096
 ROTATIONS = 4
 STEPS = 20
 HELD = 0.98
+LEAST = 10  # times k codes of a block that are ranked by floats at least
 BLOCK = 16_384
 QUERIES = 2_048
 
@@ -151,7 +152,7 @@ def nearest(vectors: DataFrame, vector: str, is_query: Column, k: int = 20) -> D
             (ids, x), (asked_ids, q) = matrix(one), matrix(two)
             index, asked_codes = MultiIndex(codes.value.of(x, True)), codes.value.of(q, False)
             for query_id, vector_, code in zip(asked_ids.tolist(), q, asked_codes):
-                found = index.within(code, codes.value.radius, k + 1)
+                found = index.within(code, codes.value.radius, LEAST * (k + 1))
                 found = found[ids[found] != query_id]
                 scores = (x[found] * vector_).sum(axis=1)
                 best = np.lexsort((ids[found], -scores))[:k]
