@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import in_fold, read
+from .tables import hash_share, in_fold, read
 
 DICTIONARY_ROWS = 400
 DICTIONARY_BYTES = 112_640
@@ -42,9 +42,12 @@ def plain(text: str) -> bytes:
 def dictionaries(docs: DataFrame, allowed: Column) -> dict[str, bytes]:
     """A dictionary for each language; the languages and their dictionaries are small enough for the driver."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & allowed).select("lang", "doc_id", "text")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    few = F.lit(False)
+    for row in counts:  # one condition for each language: a handful of rows of each go on
+        few = few | ((F.col("lang") == row["lang"]) & hash_share("doc_id", DICTIONARY_ROWS, row["n"]))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    # Spark cuts each task's rows to the first ones of a language before the shuffle.
-    some = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= DICTIONARY_ROWS)
+    some = rows.where(few).withColumn("k", F.row_number().over(first)).where(F.col("k") <= DICTIONARY_ROWS)
     piece = F.substring("text", 1, 4 * DICTIONARY_BYTES // DICTIONARY_ROWS).alias("piece")
     found: dict[str, list[bytes]] = {}
     for row in some.select("lang", "k", piece).orderBy("lang", "k").collect():

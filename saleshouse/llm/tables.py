@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.storage import _filesystem, fresh_path
@@ -53,6 +53,11 @@ def in_fold(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(divisor)
 
 
+def hash_share(column: str, rows: int, count: int) -> Column:
+    """Whether a row is among about ``2 * rows`` of ``count``, by the hash of a column: what a bounded sample is then taken from."""
+    return F.shiftrightunsigned(F.xxhash64(column), 11) < F.lit(int(min(1.0, 2 * rows / max(count, 1)) * 2**53))
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES):
     """Tables of about ``limit`` bytes of text; a longer single text makes a chunk of its own."""
     held, size = [], 0
