@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import SPACES, SpanHasher, in_fold, mix, read, text_bytes, text_chunks
+from .tables import SPACES, SpanHasher, hash_share, in_fold, mix, read, text_bytes, text_chunks
 
 DIMENSIONS = 1 << 18  # a power of two
 TRAIN_ROWS = 16_000
@@ -78,10 +78,9 @@ def trained(examples: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> np.ndarray:
     """Averaged weights; ``allowed`` tells from doc_id which labels may be learned from."""
-    chosen = (
-        labels.where(F.col(label).isNotNull() & allowed).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(TRAIN_ROWS)
-    )
+    usable = labels.where(F.col(label).isNotNull() & allowed).select("doc_id", F.col(label).cast("int").alias("label"))
+    few = usable.where(hash_share("doc_id", TRAIN_ROWS, usable.count())).distinct()
+    chosen = few.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(TRAIN_ROWS)
     # At most TRAIN_ROWS pairs of numbers, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)))
