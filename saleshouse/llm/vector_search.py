@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .tables import Scratch, read
+from .tables import Scratch, hash_share, read
 
 SAMPLE = 4096
 ROTATIONS = 4
@@ -130,7 +130,8 @@ def nearest(vectors: DataFrame, vector: str, is_query: Column, k: int = 20) -> D
     # One row; the norm is taken over all rows.
     count, asked, norm = rows.agg(F.count(F.lit(1)), F.count_if(is_query), F.max(size)).first()
     blocks, parts = max(1, -(-count // BLOCK)), max(1, -(-asked // QUERIES))
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
+    few = rows.where(hash_share("vec_id", SAMPLE, count))
+    sample = few.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     codes = spark.sparkContext.broadcast(learned(np.array([r["v"] for r in sample]), norm, k) if sample else None)
 
     def numbered(n: int) -> Column:
