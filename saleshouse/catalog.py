@@ -137,7 +137,8 @@ def _customer_changes(w: Warehouse, spark: SparkSession, folder: str) -> DataFra
 
 def _scd2_apply(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
     named = w.countries.select("country_key", F.col("country_name").alias("country"))
-    changes = _customer_changes(w, spark, folder).join(named, "country").select("customer_id", "country_key")
+    # A move to a country that the dimension lacks is a change too: its key stays empty.
+    changes = _customer_changes(w, spark, folder).join(named, "country", "left").select("customer_id", "country_key")
     at = F.lit(CHANGE_TIME).cast("timestamp_ntz")
     published = storage.publish(
         scd2.apply(w.customers, changes, "customer_id", "customer_key", at), storage.fresh_path(spark, "customer-versions")
@@ -278,8 +279,8 @@ def queries() -> dict[str, Query]:
     return {
         # sources
         "src_list_files": lambda s, d: files.list_files(s, d, r".*/(lineitem|orders|part|customer)\.parquet"),
-        "src_csv_preview": lambda s, d: files.preview_csv(s, f"{feed(s, d)}/csv"),
-        "src_parquet_preview": lambda s, d: files.preview_parquet(s, f"{feed(s, d)}/parquet"),
+        "src_csv_preview": lambda s, d: files.preview_csv(s, f"{feed(s, d)}/csv", ordered=True),
+        "src_parquet_preview": lambda s, d: files.preview_parquet(s, f"{feed(s, d)}/parquet", ordered=True),
         "src_copy_csv": _plain(lambda s, d: raw_rows(_copy_csv(s, d))),
         "src_copy_parquet": _plain(lambda s, d: raw_rows(files.copy_parquet(s, f"{feed(s, d)}/parquet"))),
         "src_on_error": _plain(lambda s, d: raw_rows(_copy_csv(s, d, "SKIP_FILE_50%"))),
@@ -294,7 +295,7 @@ def queries() -> dict[str, Query]:
         "raw_row_count": _over(lambda w: files.row_count(w.raw)),
         "raw_nulls": _over(lambda w: files.null_counts(w.raw)),
         "raw_audit": _over(lambda w: files.audit(w.raw)),
-        "raw_sample": _over(lambda w: files.sample(w.raw)),
+        "raw_sample": _over(lambda w: files.sample(w.raw.select(*files.RAW_COLUMNS), ordered=True)),
         "raw_country_dist": _over(lambda w: files.country_distribution(w.raw)),
         "csv_to_parquet": _plain(_csv_to_parquet),
         # staging

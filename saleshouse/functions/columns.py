@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SUM_TYPE = "decimal(22,2)"
@@ -87,3 +87,12 @@ def first_match(rules: list[tuple[Column, object]], otherwise: object = None) ->
     for condition, value in rest:
         chain = chain.when(condition, F.lit(value))
     return chain.otherwise(F.lit(otherwise)) if otherwise is not None else chain
+
+
+def number_of(rows: DataFrame, column: str) -> Column:
+    """Number of different values, as a value to select beside one row of aggregates.
+
+    Several COUNT(DISTINCT) in one aggregate send every row once for each; this reads one column
+    and combines equal values before the shuffle.
+    """
+    return rows.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1))).scalar()

@@ -1,21 +1,14 @@
-"""Item pairs that occur together in many baskets: exact, without enumerating giant baskets."""
+"""Item pairs that occur together in many baskets: exact, with every basket spread over tasks by blocks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .storage import materialize
 
-# Baskets up to this size are always enumerated (at most 2,016 pairs each).
-SMALL_BASKET = 64
-
-
-def _pair_counts(rows: DataFrame) -> DataFrame:
-    left = rows.select("basket", F.col("item").alias("a"))
-    right = rows.select("basket", F.col("item").alias("b"))
-    # Partial counts are combined before the shuffle.
-    return left.join(right, "basket").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+# Items of one basket that meet in one join key, about.
+BLOCK = 512
 
 
 def _with_support(rows: DataFrame, least: int) -> DataFrame:
@@ -24,67 +17,27 @@ def _with_support(rows: DataFrame, least: int) -> DataFrame:
     return rows.join(frequent.select("item"), "item", "left_semi")
 
 
-def _sizes(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("basket").agg(F.count(F.lit(1)).alias("size"))
-
-
-def _heaviest(sizes: DataFrame, at_most: int, small: int) -> tuple[int, int] | None:
-    """Smallest size above ``small`` reached by at most ``at_most`` baskets, and how many reach it."""
-    by_size = sizes.where(F.col("size") > small).groupBy("size").agg(F.count(F.lit(1)).alias("n"))
-    # One row per distinct size: their number grows with the square root of the row count at most.
-    reaching = F.sum("n").over(Window.orderBy(F.col("size").desc()))
-    row = (
-        by_size.withColumn("reaching", reaching).where(F.col("reaching") <= at_most)
-        .agg(F.min("size").alias("size"), F.max("reaching").alias("baskets")).first()
-    )
-    return None if row.size is None else (row.size, row.baskets)
+def block_rows(rows: DataFrame, block: int) -> DataFrame:
+    """Each row with the block of its item in its basket (``own``), once for every block of the basket (``other``)."""
+    blocks = rows.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    placed = rows.join(blocks, "basket").withColumn("own", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int"))
+    return placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
 
-def frequent_pairs(baskets: DataFrame, basket: str, item: str, min_support: int, k: int | None, small: int = SMALL_BASKET) -> DataFrame:
+def frequent_pairs(baskets: DataFrame, basket: str, item: str, min_support: int, k: int | None, block: int = BLOCK) -> DataFrame:
     """Pairs ``a < b`` of items that share at least ``min_support`` baskets, and their count ``n``.
 
-    With ``k``, only the k most frequent (ties by ``a, b``). Enumerating a basket costs the square
-    of its size, so three exact rules keep large baskets out of it:
-
-    * the k-th best count over small baskets alone is a lower bound (``floor``) for the k-th best
-      count overall, so pairs below it need not be found;
-    * items in fewer than ``floor`` baskets are dropped, which shrinks the baskets;
-    * the ``h < floor`` heaviest baskets are not enumerated: a pair in ``floor`` baskets is in at
-      least ``floor - h`` of the others, so the others give all candidates, and the heavy baskets
-      are only checked for those candidates.
+    With ``k``, only the k most frequent (ties by ``a, b``). A basket's items fall into blocks of about ``block``
+    by hash, and each pair of blocks is a join key of its own, so a basket with very many items is joined by
+    many tasks. Counts are combined before the shuffle.
     """
     rows = materialize(
         baskets.select(F.col(basket).alias("basket"), F.col(item).alias("item")).where("basket is not null and item is not null").distinct(),
         "baskets",
     )
-    floor, heavy = min_support, None
-    if (_sizes(rows).agg(F.max("size")).first()[0] or 0) <= small:
-        kept = _with_support(rows, floor)
-    else:
-        kept = materialize(_with_support(rows, floor), "frequent")
-        sizes = _sizes(kept)
-        if k is not None:
-            few = kept.join(sizes.where(F.col("size") <= small), "basket", "left_semi")
-            top = _pair_counts(few).orderBy(F.col("n").desc()).limit(k)
-            best = top.agg(F.count(F.lit(1)).alias("found"), F.min("n").alias("least")).first()
-            if best.found == k and best.least > floor:
-                floor = best.least
-                kept = materialize(_with_support(kept, floor), "frequent")
-                sizes = _sizes(kept)
-        heavy = _heaviest(sizes, floor - 1, small)
-    if heavy is None:
-        counts = _pair_counts(kept).where(F.col("n") >= floor)
-    else:
-        limit, baskets_left_out = heavy
-        giants = sizes.where(F.col("size") >= limit)
-        counts = _pair_counts(kept.join(giants, "basket", "left_anti"))
-        candidates = materialize(counts.where(F.col("n") >= floor - baskets_left_out), "candidates")
-        inside = kept.join(giants, "basket", "left_semi")
-        checked = (
-            candidates.join(inside.select("basket", F.col("item").alias("a")), "a")
-            .join(inside.select("basket", F.col("item").alias("b")), ["basket", "b"])
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("more"))
-        )
-        total = F.col("n") + F.coalesce("more", F.lit(0))
-        counts = candidates.join(checked, ["a", "b"], "left").select("a", "b", total.alias("n")).where(F.col("n") >= floor)
+    spread = block_rows(_with_support(rows, min_support), block)
+    left = spread.select("basket", F.col("own").alias("p"), F.col("other").alias("q"), F.col("item").alias("a"))
+    right = spread.select("basket", F.col("other").alias("p"), F.col("own").alias("q"), F.col("item").alias("b"))
+    met = left.join(right, ["basket", "p", "q"]).where("a < b")
+    counts = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support)
     return counts if k is None else counts.orderBy(F.col("n").desc(), "a", "b").limit(k)

@@ -6,10 +6,9 @@ executor can reach, so a lost executor never takes an intermediate result with i
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _KEY = "spark.checkpoint.dir"
@@ -21,8 +20,7 @@ def work_dir(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {_KEY} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="saleshouse-")
-        spark.conf.set(_KEY, root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/work"
     return f"{root.rstrip('/')}/saleshouse/{spark.sparkContext.applicationId}"
 
 
@@ -38,17 +36,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(table: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a materialized table of at most ``max_rows`` rows; leave a larger one to a shuffle join."""
-    return F.broadcast(table) if table.count() <= max_rows else table
-
-
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+def fixed_now(spark: SparkSession) -> Column:
+    """This moment as a literal: every later read of a plan that holds it gives the same time."""
+    now = spark.sql("SELECT CAST(CAST(current_timestamp() AS timestamp_ntz) AS string)").first()[0]
+    return F.lit(now).cast("timestamp_ntz")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _filesystem(spark, path)
     return fs.exists(target)

@@ -381,9 +381,17 @@ def _source_answers() -> dict[str, tuple[str, str]]:
     good = "o_orderkey % 103 <> 0"
     columns = [item.split(":")[0] for item in _RAW_SPEC.split()]
     fields = " || ',' || ".join(f"coalesce({c}, '')" for c in columns[:-1])
+    firsts = ", ".join(f"{c} NULLS FIRST" for c in columns)
     return {
         "src_copy_csv": (_RAW_SPEC, f"SELECT * FROM raw WHERE {good}"),
         "src_copy_parquet": (_RAW_SPEC, "SELECT * REPLACE (CASE WHEN customer_id IS NOT NULL THEN customer_id || '.0' END AS customer_id) FROM raw"),
+        "src_csv_preview": (_RAW_SPEC, f"SELECT * FROM raw ORDER BY {firsts} LIMIT 10"),
+        "src_parquet_preview": (
+            _RAW_SPEC,
+            "SELECT * FROM (SELECT * REPLACE (CASE WHEN customer_id IS NOT NULL THEN customer_id || '.0' END AS customer_id) FROM raw) "
+            f"ORDER BY {firsts} LIMIT 10",
+        ),
+        "raw_sample": (_RAW_SPEC, f"SELECT * FROM raw ORDER BY {firsts} LIMIT 10"),
         "src_on_error": (_RAW_SPEC, f"SELECT * FROM raw WHERE {good}"),
         "src_failed_rows": (
             "error:s raw_text:s",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import scd2
 from ..operators.ordering import with_row_number
-from ..operators.storage import materialize
+from ..operators.storage import fixed_now, materialize
 
 UNKNOWN = -1
 FACT_COLUMNS = [
@@ -18,16 +18,16 @@ FACT_COLUMNS = [
 
 # Join keys of guest rows: below any int, so they match no customer.
 _GUEST_BASE = 1 << 40
-_GUEST_SPREAD = 4096
+_GUEST_BITS = (1 << 62) - 1
 
 
 def _buyer_key(customer_id: Column) -> Column:
     """Join key for a nullable customer id.
 
     A left join sends every NULL key to the same task, and guests are a large share of all rows.
-    Here each guest row gets one of many keys that no customer has, so guests spread out.
+    Here each guest row gets a key of its own that no customer has, so guests spread over all tasks.
     """
-    spread = F.pmod(F.xxhash64("invoice_no", "stock_code", "_source_row_id"), F.lit(_GUEST_SPREAD))
+    spread = F.xxhash64("invoice_no", "stock_code", "_source_row_id").bitwiseAND(F.lit(_GUEST_BITS))
     return F.coalesce(customer_id.cast("bigint"), -spread - _GUEST_BASE)
 
 
@@ -57,7 +57,7 @@ def _shape(rows: DataFrame, sales_key: Column | str = "_source_row_id") -> DataF
         key.alias("sales_key"),
         F.col("invoice_date_key").alias("date_key"),
         "customer_key", "product_key", "country_key", "invoice_no", "quantity", "unit_price", "total_amount",
-        F.current_timestamp().cast("timestamp_ntz").alias("_loaded_at"),
+        fixed_now(rows.sparkSession).alias("_loaded_at"),
     )
 
 

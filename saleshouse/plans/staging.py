@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators.ordering import number_ranged, range_sorted
+from ..operators.storage import fixed_now
 
 # Invoice and date first; the rest makes the order total, so equal rows still spread over tasks.
 ROW_ORDER = (
@@ -68,7 +69,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     present = raw.where(F.col("invoice_no").isNotNull())
     ranged = range_sorted(present, [F.col(c).asc_nulls_first() for c in ROW_ORDER])
     numbered, _ = number_ranged(parse(ranged, keep=("__pos",)), "_source_row_id", "stg_orders")
-    return numbered.withColumn("_processed_at", F.current_timestamp().cast("timestamp_ntz"))
+    return numbered.withColumn("_processed_at", fixed_now(raw.sparkSession))
 
 
 def valid(stg: DataFrame) -> DataFrame:
@@ -114,13 +115,14 @@ def date_range(stg: DataFrame) -> DataFrame:
 
 
 def valid_summary(stg: DataFrame) -> DataFrame:
-    return valid(stg).agg(
-        F.count_distinct("invoice_no").alias("unique_invoices"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("stock_code").alias("unique_products"),
-        F.count_distinct("country").alias("unique_countries"),
-        F.sum("total_amount").alias("total_revenue"),
-        C.mean(F.col("total_amount")).alias("avg_transaction_value"),
+    rows = valid(stg)
+    money = rows.agg(F.sum("total_amount").alias("total_revenue"), C.mean(F.col("total_amount")).alias("avg_transaction_value"))
+    return money.select(
+        C.number_of(rows, "invoice_no").alias("unique_invoices"),
+        C.number_of(rows, "customer_id").alias("unique_customers"),
+        C.number_of(rows, "stock_code").alias("unique_products"),
+        C.number_of(rows, "country").alias("unique_countries"),
+        "*",
     )
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions.fixed_values import NULL_TOKENS, SOURCE_COLUMNS
-from ..operators.storage import broadcast_if_small, materialize
+from ..operators import storage
+from ..operators.storage import fixed_now, materialize
 
 RAW_COLUMNS = list(SOURCE_COLUMNS.values())
 _BAD = "corrupt_text"
@@ -22,9 +23,6 @@ _CSV_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "mode
 CSV_FILES = r".*\.csv(\.gz|\.bz2)?$"
 PARQUET_FILES = r".*\.parquet$"
 
-# One row per file or file split is far below this; a broadcast of so many rows stays near 100 MB.
-_MAX_BROADCAST_ROWS = 1_000_000
-
 HISTORY_SCHEMA = (
     "file_name string, status string, row_count bigint, row_parsed bigint, error_count bigint, "
     "first_error_message string, first_error_line_number bigint, last_load_time timestamp_ntz"
@@ -108,12 +106,17 @@ def scan_parquet(spark: SparkSession, paths: str | list[str], pattern: str = PAR
     )
 
 
-def preview_csv(spark: SparkSession, path: str, rows: int = 10) -> DataFrame:
-    return scan_csv(spark, path).select(*RAW_COLUMNS, _BAD).limit(rows).select(*RAW_COLUMNS)
+def _first(rows: DataFrame, n: int, ordered: bool) -> DataFrame:
+    """Any n rows, or the first by all columns."""
+    return (rows.orderBy(*RAW_COLUMNS) if ordered else rows).limit(n)
+
+
+def preview_csv(spark: SparkSession, path: str, rows: int = 10, ordered: bool = False) -> DataFrame:
+    return _first(scan_csv(spark, path).select(*RAW_COLUMNS, _BAD), rows, ordered).select(*RAW_COLUMNS)
 
 
-def preview_parquet(spark: SparkSession, path: str, rows: int = 10) -> DataFrame:
-    return scan_parquet(spark, path).select(*RAW_COLUMNS).limit(rows)
+def preview_parquet(spark: SparkSession, path: str, rows: int = 10, ordered: bool = False) -> DataFrame:
+    return _first(scan_parquet(spark, path).select(*RAW_COLUMNS), rows, ordered)
 
 
 def number_rows(scanned: DataFrame) -> DataFrame:
@@ -129,7 +132,7 @@ def number_rows(scanned: DataFrame) -> DataFrame:
     # One row per split of one file.
     earlier = Window.partitionBy("file_name").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = splits.select("file_name", "block", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    starts = broadcast_if_small(materialize(starts, "csv-splits"), _MAX_BROADCAST_ROWS)
+    starts = materialize(starts, "csv-splits")
     return (
         stored.join(starts, ["file_name", "block"])
         .withColumn("file_row_number", F.col("before") + F.col("scan_id") - F.col("first_id") + 1)
@@ -174,11 +177,11 @@ def apply_error_policy(parsed: DataFrame, policy: str) -> tuple[DataFrame, DataF
     good = parsed.where(~bad)
     if policy == "CONTINUE":
         return good, files
-    skipped = broadcast_if_small(files.where("skipped").select("file_name"), _MAX_BROADCAST_ROWS)
+    skipped = files.where("skipped").select("file_name")
     return good.join(skipped, "file_name", "left_anti"), files
 
 
-def _history(listed: DataFrame, files: DataFrame) -> DataFrame:
+def _history(listed: DataFrame, files: DataFrame, at: Column) -> DataFrame:
     """Files without a single row (empty, or only a header) count as loaded with zero rows."""
     loaded = F.when(F.col("skipped"), 0).otherwise(F.col("row_parsed") - F.col("error_count"))
     status = (
@@ -195,21 +198,24 @@ def _history(listed: DataFrame, files: DataFrame) -> DataFrame:
         F.coalesce("error_count", zero).alias("error_count"),
         F.when(F.col("error_count") > 0, F.lit("number of fields does not match")).alias("first_error_message"),
         "first_error_line_number",
-        F.current_timestamp().cast("timestamp_ntz").alias("last_load_time"),
+        at.alias("last_load_time"),
     )
 
 
-def as_raw(rows: DataFrame) -> DataFrame:
-    return rows.select(*RAW_COLUMNS, F.current_timestamp().cast("timestamp_ntz").alias("load_timestamp"), "file_name", "file_row_number")
+def as_raw(rows: DataFrame, at: Column | None = None) -> DataFrame:
+    """Rows of raw_transactions, all with one load time that does not change between reads."""
+    at = fixed_now(rows.sparkSession) if at is None else at
+    return rows.select(*RAW_COLUMNS, at.alias("load_timestamp"), "file_name", "file_row_number")
 
 
 def copy_csv(
     spark: SparkSession, paths: str | list[str], pattern: str = CSV_FILES, on_error: str = "CONTINUE", multi_line: bool = False
 ) -> Load:
     """Load CSV files into raw_transactions rows under an error policy."""
+    at = fixed_now(spark)
     parsed = number_rows(scan_csv(spark, paths, pattern, multi_line))
     kept, files = apply_error_policy(parsed, on_error)
-    return Load(as_raw(kept), failed_rows(parsed), _history(_listing(spark, paths, pattern), files))
+    return Load(as_raw(kept, at), failed_rows(parsed), _history(_listing(spark, paths, pattern), files, at))
 
 
 def failed_rows(parsed: DataFrame) -> DataFrame:
@@ -227,9 +233,11 @@ def validate_csv(spark: SparkSession, paths: str | list[str], pattern: str = CSV
 
 
 def copy_parquet(spark: SparkSession, paths: str | list[str], pattern: str = PARQUET_FILES) -> Load:
-    rows = materialize(scan_parquet(spark, paths, pattern), "parquet-scan").withColumn(_BAD, F.lit(None).cast("string"))
+    """Row numbers come with the files and are the same at every read, so the rows need no copy."""
+    at = fixed_now(spark)
+    rows = scan_parquet(spark, paths, pattern).withColumn(_BAD, F.lit(None).cast("string"))
     kept, files = apply_error_policy(rows, "CONTINUE")
-    return Load(as_raw(kept), failed_rows(rows), _history(_listing(spark, paths, pattern), files))
+    return Load(as_raw(kept, at), failed_rows(rows), _history(_listing(spark, paths, pattern), files, at))
 
 
 def failed_loads(history: DataFrame, now: Column, days: int = 7) -> DataFrame:
@@ -238,16 +246,36 @@ def failed_loads(history: DataFrame, now: Column, days: int = 7) -> DataFrame:
 
 
 def new_files(spark: SparkSession, path: str, history: DataFrame, pattern: str = CSV_FILES) -> DataFrame:
-    """Files below ``path`` that no earlier load has seen."""
-    return _listing(spark, path, pattern).join(history.select("file_name"), "file_name", "left_anti").select("path")
+    """Files below ``path`` that no earlier load has taken: unseen ones, failed ones, and those changed since their load."""
+    loaded = history.where("status <> 'LOAD_FAILED'").groupBy("file_name").agg(F.max("last_load_time").alias("loaded_at"))
+    changed = F.col("modified").cast("timestamp_ntz") > F.col("loaded_at")
+    listed = _listing(spark, path, pattern).join(loaded, "file_name", "left")
+    return listed.where(F.col("loaded_at").isNull() | changed).select("path")
+
+
+def literal_path(path: str) -> str:
+    """A path as a reader's pattern that fits this path alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def copy_new_csv(spark: SparkSession, path: str, history: DataFrame, pattern: str = CSV_FILES, on_error: str = "CONTINUE") -> Load | None:
     """Load only new files. The driver holds the new files' names, as any Spark reader's does."""
-    names = [row.path for row in new_files(spark, path, history, pattern).toLocalIterator()]
+    names = [literal_path(row.path) for row in new_files(spark, path, history, pattern).toLocalIterator()]
     return copy_csv(spark, names, pattern, on_error) if names else None
 
 
+def record_history(load: Load, path: str) -> None:
+    """Append a load's history to the table that later loads ask."""
+    load.history.write.mode("append").parquet(path)
+
+
+def stored_history(spark: SparkSession, path: str) -> DataFrame:
+    """All recorded loads; no rows before the first."""
+    if not storage.exists(spark, path):
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+    return spark.read.schema(HISTORY_SCHEMA).parquet(path)
+
+
 # --- reports over raw_transactions
 
 
@@ -282,8 +310,8 @@ def audit(raw: DataFrame) -> DataFrame:
     )
 
 
-def sample(raw: DataFrame, rows: int = 10) -> DataFrame:
-    return raw.limit(rows)
+def sample(raw: DataFrame, rows: int = 10, ordered: bool = False) -> DataFrame:
+    return _first(raw, rows, ordered)
 
 
 def country_distribution(raw: DataFrame, k: int = 10) -> DataFrame:

@@ -29,21 +29,23 @@ def make(seed, baskets=60, items=25, giants=2):
     return rows
 
 
-@pytest.mark.parametrize("least,k,small,giants", [(2, 10, 64, 2), (3, 10, 3, 2), (4, None, 3, 2), (2, 5, 2, 6), (5, 7, 4, 4), (1, 400, 3, 3)])
-def test_equals_enumeration(spark, least, k, small, giants):
-    rows = make(least * 7 + small, giants=giants)
+@pytest.mark.parametrize("least,k,block,giants", [(2, 10, 64, 2), (3, 10, 3, 2), (4, None, 3, 2), (2, 5, 2, 6), (5, 7, 4, 4), (1, 400, 3, 3)])
+def test_equals_enumeration(spark, least, k, block, giants):
+    rows = make(least * 7 + block, giants=giants)
     df = spark.createDataFrame(rows, "b int, i int")
-    got = [tuple(r) for r in pairs.frequent_pairs(df, "b", "i", least, k, small).collect()]
+    got = [tuple(r) for r in pairs.frequent_pairs(df, "b", "i", least, k, block).collect()]
     want = brute(rows, least, k)
     assert (got if k else sorted(got)) == (want if k else sorted(want))
 
 
-def test_giant_baskets_are_set_aside(spark):
-    """With baskets above the small size, only as many as the support allows are kept from enumeration."""
-    rows = make(1, giants=3)
-    sizes = spark.createDataFrame(rows, "basket int, item int").distinct().groupBy("basket").count().withColumnRenamed("count", "size")
-    assert pairs._heaviest(sizes, 3, 10) == (25, 3)
-    assert pairs._heaviest(sizes, 2, 10) is None
+def test_equal_large_baskets_are_spread(spark):
+    """Three equal baskets of 600 items: no join key holds more than a small part of a basket's pairs."""
+    rows = [(basket, item) for basket in range(3) for item in range(600)]
+    df = spark.createDataFrame(rows, "basket int, item int")
+    keys = pairs.block_rows(df, 50).groupBy("basket", "own", "other").count()
+    assert keys.count() == 3 * 12 * 12 and keys.agg({"count": "max"}).first()[0] < 100
+    found = pairs.frequent_pairs(df, "basket", "item", 3, None, 50)
+    assert found.count() == 600 * 599 // 2 and found.agg({"n": "min"}).first()[0] == 3
 
 
 def test_no_baskets(spark):
