@@ -47,10 +47,14 @@ def _part_sums(stored: DataFrame, value: Column) -> list:
     return [sums.get(part) or 0 for part in range(max(sums, default=0) + 1)]
 
 
+def _per_part(values: list, type_: str) -> Column:
+    """A row's partition's value: one text literal, folded to an array when the plan is optimized."""
+    return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{type_}>"), _part())
+
+
 def _sum_before(sums: list, type_: str) -> Column:
-    """Sum of all earlier partitions: one text literal, folded to an array when the plan is optimized."""
-    texts = F.split(F.lit(",".join(str(v) for v in [0, *accumulate(sums[:-1])])), ",")
-    return F.get(texts.cast(f"array<{type_}>"), _part())
+    """Sum of all earlier partitions."""
+    return _per_part([0, *accumulate(sums[:-1])], type_)
 
 
 def number_ranged(ranged: DataFrame, name: str, label: str = "numbered") -> tuple[DataFrame, int]:
@@ -89,13 +93,35 @@ def with_running_total(df: DataFrame, order: Sequence[Column], value: str, name:
 
 
 def with_rank(df: DataFrame, value: str, name: str, descending: bool = True) -> DataFrame:
-    """RANK over the whole table: equal values share the rank of their first row."""
-    order = F.col("__v").desc() if descending else F.col("__v").asc()
-    counted = df.groupBy(F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    ranks = with_running_total(counted, [order], "__n", "__upto").select(
-        "__v", (F.col("__upto") - F.col("__n") + 1).alias(name)
-    )
-    return df.join(ranks, df[value].eqNullSafe(ranks["__v"])).drop("__v")
+    """RANK over the whole table: equal values share the rank of their first row.
+
+    Rows of one value are spread over range partitions by a hash of the row, and ranked in each. Where a partition
+    begins with the value the one before ended with, that value's rank is carried over.
+    """
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    stored = materialize(range_sorted(df, [order, F.xxhash64(*df.columns)]), "ranked")
+    ranked = stored.withColumn("__local", F.rank().over(Window.partitionBy(_part()).orderBy(order)))
+    found = {
+        row.part: row
+        for row in ranked.groupBy(_part().alias("part")).agg(
+            F.min_by(value, _POS).alias("low"), F.max_by(value, _POS).alias("high"),
+            F.count(F.lit(1)).alias("n"), F.max("__local").alias("last"),
+        ).collect()
+    }
+    # One number per range partition: the rank of its first value, and the rows before it.
+    first_ranks, rows_before, before, carried = [], [], 0, None
+    for part in range(max(found, default=0) + 1):
+        rows_before.append(before)
+        row = found.get(part)
+        if row is None:
+            first_ranks.append(0)
+            continue
+        first = carried[1] if carried and carried[0] == row.low else before + 1
+        first_ranks.append(first)
+        carried = (row.high, first if row.last == 1 else before + row.last)
+        before += row.n
+    rank = F.when(F.col("__local") == 1, _per_part(first_ranks, "bigint")).otherwise(_per_part(rows_before, "bigint") + F.col("__local"))
+    return ranked.withColumn(name, rank).drop("__local", _POS)
 
 
 def top_ranked(df: DataFrame, value: str, ties: Sequence[str], k: int, name: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators.ordering import with_running_total
 from ..operators.storage import materialize
 
 MONTH = "sales_month"
@@ -90,14 +91,11 @@ def depth(ranges: DataFrame) -> DataFrame:
     points = starts.join(ends, "at", "full").select(
         "at", F.coalesce("opened", F.lit(0)).alias("opened"), F.coalesce("closed", F.lit(0)).alias("closed")
     )
-    sweep = Window.orderBy("at")  # at most two rows per file
-    upto = sweep.rowsBetween(Window.unboundedPreceding, 0)
-    before = sweep.rowsBetween(Window.unboundedPreceding, -1)
-    swept = points.select(
-        "opened",
-        F.coalesce(F.sum("opened").over(before), F.lit(0)).alias("opened_before"),
-        F.coalesce(F.sum("closed").over(before), F.lit(0)).alias("closed_before"),
-        F.sum("opened").over(upto).alias("opened_upto"),
+    swept = points
+    for column in ("opened", "closed"):
+        swept = with_running_total(swept, [F.col("at")], column, f"{column}_upto")
+    swept = swept.withColumns(
+        {"opened_before": F.col("opened_upto") - F.col("opened"), "closed_before": F.col("closed_upto") - F.col("closed")}
     )
     # Each file overlaps those that opened earlier and are still open, and those opening with it;
     # every overlapping pair is met once, at the later of the two starts.
