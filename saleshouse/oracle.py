@@ -713,8 +713,10 @@ def _version_answers() -> dict[str, tuple[str, str]]:
 
 
 def _fact_answers() -> dict[str, tuple[str, str]]:
-    early = f"DATE '{K.LATE_DIMENSION}'"
-    known = f"(SELECT * FROM prod WHERE first_sold_date <= {early})"
+    strange = f"""(SELECT _source_row_id, invoice_no, CASE WHEN CAST(stock_code AS INT) % {K.LOST_PART} = 0 THEN 'X' ELSE '' END || stock_code AS stock_code,
+                          CASE WHEN CAST(stock_code AS INT) % {K.LOST_COUNTRY} = 0 THEN 'UNLISTED' ELSE country END AS country FROM v)"""
+    no_part, no_country = "stock_code NOT IN (SELECT stock_code FROM prod)", "country NOT IN (SELECT country_name FROM ctry)"
+    astray = f"SELECT * REPLACE (CASE WHEN sales_key % {K.ASTRAY} = 0 THEN -{{0}} ELSE {{0}} END AS {{0}}) FROM f"
     year = f"BETWEEN {K.MERGE_YEAR[0]} AND {K.MERGE_YEAR[1]}"
     source = f"""(SELECT invoice_no, product_key, date_key, country_key, max(customer_key) AS customer_key, sum(quantity) AS quantity,
                          (max(price_c) + 1) // 2 AS price_c FROM f WHERE date_key {year} GROUP BY ALL)"""
@@ -741,12 +743,13 @@ def _fact_answers() -> dict[str, tuple[str, str]]:
         ),
         "fact_lookup_failures": (
             "_source_row_id:i invoice_no:s stock_code:s country:s reason:s",
-            f"SELECT v.*, 'product not found' AS reason FROM v WHERE NOT EXISTS (SELECT 1 FROM {known} k WHERE k.stock_code = v.stock_code)",
+            f"SELECT *, CASE WHEN {no_part} THEN 'product not found' ELSE 'country not found' END AS reason FROM {strange} WHERE {no_part} OR {no_country}",
         ),
         "fact_unknown_member": (
             _FACT_SPEC,
-            f"SELECT * REPLACE (CASE WHEN k.stock_code IS NULL THEN -1 ELSE f.product_key END AS product_key), price_c / 100 AS unit_price, amount_c / 100 AS total_amount "
-            f"FROM f LEFT JOIN (SELECT product_key AS pk, stock_code FROM {known}) k ON pk = product_key",
+            f"""SELECT * REPLACE (CASE WHEN {no_part} THEN -1 ELSE product_key END AS product_key, CASE WHEN {no_country} THEN -1 ELSE country_key END AS country_key),
+                       price_c / 100 AS unit_price, amount_c / 100 AS total_amount
+                FROM f JOIN (SELECT _source_row_id AS sales_key, stock_code, country FROM {strange}) USING (sales_key)""",
         ),
         "fact_slice_reload": (_FACT_SPEC, f"SELECT * FROM ({_FACT_ROWS}) WHERE {_AFTER_RELOAD}"),
         "fact_merge": (
@@ -779,12 +782,13 @@ def _fact_answers() -> dict[str, tuple[str, str]]:
             "SELECT min(date_key) AS min_date_key, max(date_key) AS max_date_key, count(DISTINCT date_key) AS distinct_dates FROM f",
         ),
         "val_date_range_2": ("min_date:d max_date:d days_span:i", "SELECT min(date) AS min_date, max(date) AS max_date, max(date) - min(date) AS days_span FROM star"),
-        "val_orphans_1": ("orphaned_date_keys:i", "SELECT count(*) AS orphaned_date_keys FROM f WHERE date_key NOT IN (SELECT date_key FROM cal WHERE NOT is_weekend)"),
-        "val_orphans_2": ("orphaned_product_keys:i", "SELECT count(*) AS orphaned_product_keys FROM f ANTI JOIN prod USING (product_key)"),
-        "val_orphans_3": ("orphaned_country_keys:i", "SELECT count(*) AS orphaned_country_keys FROM f ANTI JOIN ctry USING (country_key)"),
-        "val_orphans_4": (
-            "orphaned_customer_keys:i", "SELECT count(*) AS orphaned_customer_keys FROM (SELECT * FROM f WHERE customer_key IS NOT NULL) ANTI JOIN cust USING (customer_key)",
-        ),
+        **{
+            f"val_orphans_{n}": (
+                f"orphaned_{key}s:i",
+                f"SELECT count(*) AS orphaned_{key}s FROM ({astray.format(key)}) WHERE {key} IS NOT NULL AND {key} NOT IN (SELECT {key} FROM {dim})",
+            )
+            for n, (key, dim) in enumerate({"date_key": "cal", "product_key": "prod", "country_key": "ctry", "customer_key": "cust"}.items(), 1)
+        },
         "val_sample": (wide_spec, f"{wide} ORDER BY sales_key DESC LIMIT 20"),
         "val_wide": (wide_spec, wide),
         "load_counts": (

@@ -147,6 +147,9 @@ def merge(fact: DataFrame, source: DataFrame, keys: tuple[str, ...] = ("invoice_
 
     A source key that occurs twice is rejected. Every fact row with a matching key is updated; new
     rows continue the sales keys. Publish the result as a new table version.
+
+    The keys the fact holds already are stored once, at most one row per source row, so the new rows
+    are found without the fact; where Spark broadcasts the source, the fact is not shuffled at all.
     """
     source = materialize(source, "merge-source")
     scd2.reject_duplicates(source, keys)
@@ -158,7 +161,8 @@ def merge(fact: DataFrame, source: DataFrame, keys: tuple[str, ...] = ("invoice_
             for c in fact.columns
         )
     )
-    unseen = source.join(fact.select(*keys), list(keys), "left_anti")
+    held = materialize(fact.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct(), "merge-held")
+    unseen = source.join(held, list(keys), "left_anti")
     last_key = fact.agg(F.coalesce(F.max("sales_key"), F.lit(0).cast("bigint"))).scalar()
     numbered = with_row_number(unseen, [F.col(k) for k in keys], "__n").withColumn("sales_key", last_key + F.col("__n"))
     inserted = numbered.select(
