@@ -147,6 +147,16 @@ def _scd2_apply(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
     return published
 
 
+def _scd2_apply_product(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
+    """Products after a price list: moved prices and new descriptions make new versions."""
+    moves = scd2.detect_price_moves(tables.price_update(spark, folder), w.products, "stock_code", also=["description"])
+    changes = moves.select("stock_code", "description", F.col("new_price").alias("unit_price"))
+    at = F.lit(CHANGE_TIME).cast("timestamp_ntz")
+    return storage.publish(
+        scd2.apply(w.products, changes, "stock_code", "product_key", at), storage.fresh_path(spark, "product-versions")
+    )
+
+
 def _corrected_lines(w: Warehouse) -> DataFrame:
     """A late delivery: half the price for the sales of one year, and each once more under a new invoice."""
     first, last = MERGE_YEAR
@@ -401,6 +411,7 @@ def queries() -> dict[str, Query]:
             lambda w, s, d: scd2.detect_price_moves(tables.price_update(s, d), w.products, "stock_code", also=["description"])
         ),
         "scd2_apply": _with(_scd2_apply),
+        "scd2_apply_product": _with(_scd2_apply_product),
         "scd2_build": _over(lambda w: w.customers, "moving"),
         # fact
         "fact_sales": _over(lambda w: w.fact),

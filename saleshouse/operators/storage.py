@@ -53,19 +53,27 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _filesystem(spark, path)
+    fs.delete(target, True)
+
+
 def drop_work_tables(spark: SparkSession) -> None:
     """Delete every intermediate table of this application. Call when no result is still in use."""
-    fs, target = _filesystem(spark, work_dir(spark))
-    fs.delete(target, True)
+    delete(spark, work_dir(spark))
 
 
 # --- versioned tables: plain Parquet has no MERGE, and a path must not be overwritten while read
 
 
+def finished(spark: SparkSession, base: str, names: str) -> list[str]:
+    """Names of the folders below ``base`` that a write has ended in."""
+    fs, pattern = _filesystem(spark, f"{base}/{names}/_SUCCESS")
+    return sorted(found.getPath().getParent().getName() for found in fs.globStatus(pattern) or [])
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
-    fs, pattern = _filesystem(spark, f"{base}/version=*/_SUCCESS")
-    found = fs.globStatus(pattern) or []
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    return sorted(int(name.split("=")[1]) for name in finished(spark, base, "version=*"))
 
 
 def publish(df: DataFrame, base: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

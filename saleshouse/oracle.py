@@ -677,7 +677,7 @@ def _version_answers() -> dict[str, tuple[str, str]]:
                         'NATION_' || ((c_nationkey + CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END) % 25) AS country FROM customer)"""
     changed = f"""(SELECT n.* FROM {update} n LEFT JOIN cust ON cust.customer_id = n.customer_id AND cust.country = n.country AND _is_current
                    WHERE cust.customer_id IS NULL)"""
-    prices = """(SELECT CAST(p_partkey AS VARCHAR) AS stock_code, p_name AS description,
+    prices = """(SELECT CAST(p_partkey AS VARCHAR) AS stock_code, p_name || CASE WHEN p_partkey % 7 = 0 THEN ' (new)' ELSE '' END AS description,
                         CAST(CAST(p_retailprice AS DECIMAL(10,2)) * 5000 AS BIGINT) AS new_c FROM part)"""
     at = f"TIMESTAMP '{K.CHANGE_TIME}'"
     moved = f"SELECT stock_code, list_c / 100 AS old_price, new_c / 100 AS new_price FROM prod JOIN {prices} n USING (stock_code)"
@@ -708,6 +708,19 @@ def _version_answers() -> dict[str, tuple[str, str]]:
                        first_order_date, last_order_date, total_lifetime_orders, {at}, NULL, TRUE
                 FROM {changed} x JOIN ctry ON x.country = country_name LEFT JOIN cust ON cust.customer_id = x.customer_id""",
         ),
+        "scd2_apply_product": (
+            _PRODUCT_SPEC,
+            f"""WITH n AS (SELECT stock_code, n.description, new_c FROM prod JOIN {prices} n USING (stock_code)
+                           WHERE abs(new_c - list_c) * 10 > list_c OR n.description IS DISTINCT FROM prod.description)
+                SELECT product_key, p.stock_code, p.description, category_key, list_c / 100 AS unit_price, first_sold_date,
+                       CAST(first_sold_date AS TIMESTAMP) AS _effective_from, CASE WHEN n.stock_code IS NULL THEN NULL ELSE {at} END AS _effective_to,
+                       n.stock_code IS NULL AS _is_current
+                FROM prod p LEFT JOIN n USING (stock_code)
+                UNION ALL
+                SELECT (SELECT max(product_key) FROM prod) + row_number() OVER (ORDER BY stock_code), stock_code, n.description, category_key, new_c / 100,
+                       first_sold_date, {at}, NULL, TRUE
+                FROM n JOIN prod USING (stock_code)""",
+        ),
         "scd2_build": (_CUST_SPEC, "SELECT * FROM cust"),
     }
 

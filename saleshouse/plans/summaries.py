@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.storage import materialize
-from ..sources.layout import MONTH
+from ..sources.layout import MONTH, emptied_months, with_month
 from .reports import dated, day_type
 
 
@@ -66,7 +66,7 @@ def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def write_daily(summary: DataFrame, path: str, months: tuple[int, int] | None = None) -> None:
     """Save day rows in one folder per month; with ``months`` replace only those folders."""
-    rows = summary.withColumn(MONTH, F.expr("date_key div 100").cast("int"))
+    rows = with_month(summary)
     # A month is at most 31 rows, so a task may hold whole months.
     writer = rows.repartition(MONTH).write.mode("overwrite").partitionBy(MONTH)
     if months:
@@ -81,11 +81,17 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 def refresh_daily(spark: SparkSession, path: str, clustered_fact: DataFrame, dates: DataFrame, first: int, last: int) -> DataFrame:
     """Recompute the months of the changed days ``first``..``last`` and replace their folders.
 
-    ``clustered_fact`` still has its month column, so only those months are read.
+    ``clustered_fact`` still has its month column, so only those months are read. The days follow from
+    the fact alone, so a refresh that died is done again.
     """
     months = (first // 100, last // 100)
     changed = clustered_fact.where(F.col(MONTH).between(*months)).drop(MONTH)
-    write_daily(materialize(daily_sales(changed, dates), "daily"), path, months)
+    days = materialize(daily_sales(changed, dates), "daily")
+    emptied = emptied_months(spark, path, with_month(days), *months)
+    write_daily(days, path, months)
+    # A dynamic overwrite leaves a month alone that has no days left; write it empty.
+    for month in emptied:
+        days.where(F.lit(False)).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
     return read_daily(spark, path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.ordering import with_running_total
-from ..operators.storage import materialize
+from ..operators.storage import delete, finished
 
 MONTH = "sales_month"
 
@@ -41,34 +41,53 @@ def read_slice(spark: SparkSession, path: str, first: int, last: int) -> DataFra
     return spark.read.parquet(path).where(month_filter(first, last)).drop(MONTH)
 
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
+
+
 def reload_slice(spark: SparkSession, path: str, rows: DataFrame, first: int, last: int) -> DataFrame:
     """Replace the days ``first``..``last`` of a clustered fact; run twice, the result is the same.
 
-    Only the months touched are rewritten. Their new content is stored first, so an interrupted
-    overwrite can be repeated from it.
+    Only the months touched are rewritten. Their new content is stored beside the table first and deleted
+    when the months are in place. A job that dies before that leaves it there, and the next reload, or
+    `finish_reloads`, puts it in place: no row outside the slice is lost.
     """
+    finish_reloads(spark, path)
     stored = spark.read.parquet(path)
     months = F.col(MONTH).between(first // 100, last // 100)
     in_range = F.col("date_key").between(first, last)
-    replacement = materialize(
-        stored.where(months & ~in_range).unionByName(with_month(rows.where(in_range)).select(*stored.columns)), "slice"
-    )
-    emptied = stored.where(months).select(MONTH).distinct().join(replacement.select(MONTH).distinct(), MONTH, "left_anti")
-    left_empty = [row[MONTH] for row in emptied.collect()]  # one row per month touched
-    (
-        replacement.repartitionByRange("date_key", "country_key", "sales_key")
-        .sortWithinPartitions("date_key", "country_key", "sales_key")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
-    # A dynamic overwrite leaves a month alone that has no rows left; write it empty.
-    for month in left_empty:
-        stored.where(F.lit(False)).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+    content = stored.where(months & ~in_range).unionByName(with_month(rows.where(in_range)).select(*stored.columns))
+    content.write.mode("overwrite").parquet(f"{_pending(path)}/{first}-{last}")
+    finish_reloads(spark, path)
     return spark.read.parquet(path).drop(MONTH)
 
 
+def emptied_months(spark: SparkSession, path: str, rows: DataFrame, first: int, last: int) -> list[int]:
+    """Months ``first``..``last`` that hold rows at ``path`` and have none in ``rows``."""
+    stored = spark.read.schema(rows.schema).parquet(path).where(F.col(MONTH).between(first, last)).select(MONTH).distinct()
+    return [row[MONTH] for row in stored.join(rows.select(MONTH).distinct(), MONTH, "left_anti").collect()]  # one row a month
+
+
+def finish_reloads(spark: SparkSession, path: str) -> None:
+    """Put the months of stored slices in place, those of reloads that died included. Doing so again changes nothing."""
+    for name in finished(spark, _pending(path), "*"):
+        first, last = (int(day) for day in name.split("-"))
+        replacement = spark.read.parquet(f"{_pending(path)}/{name}")
+        emptied = emptied_months(spark, path, replacement, first // 100, last // 100)
+        (
+            replacement.repartitionByRange("date_key", "country_key", "sales_key")
+            .sortWithinPartitions("date_key", "country_key", "sales_key")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(MONTH)
+            .parquet(path)
+        )
+        # A dynamic overwrite leaves a month alone that has no rows left; write it empty.
+        for month in emptied:
+            replacement.where(F.lit(False)).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
+        delete(spark, f"{_pending(path)}/{name}")
+
+
 def file_ranges(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Smallest and largest key of each file."""
     return (

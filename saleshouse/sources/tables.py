@@ -95,9 +95,10 @@ def customer_update(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_update(spark: SparkSession, folder: str) -> DataFrame:
-    """The part table as a later price list."""
+    """The part table as a later price list: every seventh part has a new description."""
+    renamed = F.when(F.col("p_partkey") % 7 == 0, F.concat("p_name", F.lit(" (new)"))).otherwise(F.col("p_name"))
     return read(spark, folder, "part").select(
         F.col("p_partkey").cast("string").alias("stock_code"),
-        F.col("p_name").alias("description"),
+        renamed.alias("description"),
         (F.col("p_retailprice").cast("decimal(10,2)") * 50).cast("decimal(10,2)").alias("unit_price"),
     )
