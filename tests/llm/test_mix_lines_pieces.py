@@ -252,3 +252,53 @@ def test_mix_takes_effect(spark):
     for r in out.select("doc_id").collect():
         got[r.doc_id] += 1
     assert got == {i: n for i, n in taken.items() if n}
+
+
+def edited(line, n, rnd):
+    for _ in range(n):
+        k, c = rnd.randrange(len(line)), rnd.choice("etaoin")
+        line = rnd.choice([line[:k] + c + line[k:], line[:k] + c + line[k + 1 :], line[:k] + line[k + 1 :]])
+    return line
+
+
+def test_keys_of_short_lines_miss_no_similar_pair():
+    rnd, hasher = random.Random(3), SpanHasher()
+    for _ in range(3000):
+        a = "".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(9, ld.LONG)))
+        b = edited(a, rnd.randrange(1, 4), rnd)
+        longer = max(len(a), len(b))
+        if a == b or longer >= ld.LONG or not ld.within_edits(a.encode(), b.encode(), int((1 - ld.SIMILAR) * longer + 1e-9)):
+            continue
+        keys = ld.line_rows(pa.chunked_array([pa.array([a, b])]), hasher)[6].to_pylist()
+        assert set(keys[0]) & set(keys[1]), (a, b)
+
+
+def test_keys_of_long_lines_meet_as_measured():
+    rnd, hasher = random.Random(3), SpanHasher()
+    vocabulary = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 10))) for _ in range(2000)]
+    for words_, edits, least in [(8, 0, 1.0), (40, 0, 1.0), (40, 0.05, 0.99), (40, 0.1, 0.95)]:
+        met = 0
+        for _ in range(300):
+            a = " ".join(rnd.choice(vocabulary) for _ in range(words_))
+            got = ld.line_rows(pa.chunked_array([pa.array([a, edited(a, max(1, int(edits * len(a))), rnd)])]), hasher)
+            bits = sum(int(h[0] ^ h[1]).bit_count() for h in got[3:5])
+            met += bool(set(got[6][0].as_py()) & set(got[6][1].as_py())) and bits <= ld.RADIUS
+        assert met >= least * 300, (words_, edits, met)
+
+
+def test_lines_link_by_edit_similarity_alone(spark):
+    rnd = random.Random(12)
+    vocabulary = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 9))) for _ in range(500)]
+    rows, texts = [], []
+    for i in range(120):
+        line = " ".join(rnd.choice(vocabulary) for _ in range(rnd.choice([2, 3, 5, 9, 25, 60])))
+        texts += [line, edited(line, 1, rnd)]
+        rows += [(2 * i, texts[-2]), (2 * i + 1, texts[-1])]
+    normal = [ld.normal_line(t) for t in texts]
+    links = [
+        (a, b) for b in range(len(texts)) for a in range(b)
+        if ld.within_edits(normal[a], normal[b], int((1 - ld.SIMILAR) * max(len(normal[a]), len(normal[b])) + 1e-9))
+    ]
+    root = groups(links, range(len(texts)))
+    got = {r.doc_id: r.n_removed for r in ld.without_repeats(docs(spark, rows)).collect()}
+    assert got == {i: int(root[i] != i) for i in range(len(texts))} and sum(got.values()) > 90
