@@ -302,3 +302,11 @@ def test_lines_link_by_edit_similarity_alone(spark):
     root = groups(links, range(len(texts)))
     got = {r.doc_id: r.n_removed for r in ld.without_repeats(docs(spark, rows)).collect()}
     assert got == {i: int(root[i] != i) for i in range(len(texts))} and sum(got.values()) > 90
+
+
+def test_lines_that_differ_in_numbers_stay(spark):
+    table = ["Order 1001: 5 items", "Order 87342: 912 items", "x = 3 + y", "x: y", " ".join(f"w{k}" for k in range(120)), " ".join(f"w{7 * k}" for k in range(900, 1020))]
+    rows = [(1, "\n".join(table)), (2, "order 1001 5 items!\n12\n12"), (3, "on the morning of the 12th of May they all went home again")]
+    rows.append((4, rows[2][1].replace("12", "13")))
+    got = {r.doc_id: r.text for r in ld.without_repeats(docs(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "12\n12", 3: rows[2][1], 4: ""}
