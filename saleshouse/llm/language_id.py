@@ -1,8 +1,9 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
 For each language a bounded sample of training texts (the ``DICTIONARY_ROWS`` with the least hash of their id, cut into
-pieces) becomes a raw-content dictionary of at most ``DICTIONARY_BYTES``. A text is compressed whole with each
-dictionary. It is rejected where the best and the second best size are closer than ``MARGIN`` of the best, and where
+pieces) becomes a raw-content dictionary of at most ``DICTIONARY_BYTES``. All of a text is compressed with each
+dictionary, in independent pieces of ``PIECE_BYTES``, so that the dictionary helps as much at the end of a long text as at its start and the
+margin means the same at every length. The sums of the pieces' sizes are compared. A text is rejected where the best and the second best size are closer than ``MARGIN`` of the best, and where
 it has no letter.
 
 Texts are brought to lower case and signs and digits are taken as spaces, in dictionaries and in texts alike.
@@ -29,6 +30,7 @@ DICTIONARY_ROWS = 400
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
 MARGIN = 0.002
+PIECE_BYTES = 32_768
 UNKNOWN = "und"
 
 _SIGNS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -78,7 +80,11 @@ class Judge:
         if not text or not self.languages or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, True
         content = plain(text)
-        sizes = [len(c.compress(content)) for c in self.compressors]
+        # Pieces of one length, so that none is too short to tell.
+        count = -(-len(content) // PIECE_BYTES) or 1
+        ends = [len(content) * k // count for k in range(count + 1)]
+        pieces = [content[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        sizes = [sum(len(c.compress(x)) for x in pieces) for c in self.compressors]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         if len(sizes) == 1:
             return self.languages[0], 1.0, False

@@ -78,6 +78,21 @@ def test_language_of_odd_texts(spark):
     assert li.dictionaries(docs(spark, []), li.in_fold("doc_id", 5) != 0) == {}
 
 
+def test_language_of_long_texts(spark):
+    table = read(spark, "/root/testdata/sf0.1", "documents")
+    judge = li.Judge(li.dictionaries(table, li.in_fold("doc_id", 5) != 0))
+    by = {}
+    for r in table.where("lang is not null and n_chars > 500").select("lang", "text").orderBy("doc_id").collect():
+        by.setdefault(r.lang, []).append(r.text)
+    assert len(by) > 1
+    for lang, texts in by.items():
+        long = " ".join(texts)
+        long = long * -(-4_000_000 // len(long))
+        for size in (3_000, 300_000, 1_000_000, 4_000_000):
+            found, _, rejected = judge(long[:size])
+            assert (found, rejected) == (lang, False), (lang, size)
+
+
 TEXTS = [
     "Licensed under CC BY-NC 4.0. All rights reserved.", "GNU General Public License, version 3 or later", "SPDX-License-Identifier: Apache-2.0",
     "Permission is hereby granted, free of charge, to any person obtaining a copy", "cc by cc by cc by-sa 4.0", "all rights all rights reserved",
