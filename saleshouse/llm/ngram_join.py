@@ -70,6 +70,11 @@ def distinct_sorted(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray,
     return values[new], np.concatenate(([0], np.cumsum(new)))[starts]
 
 
+def class_of(keys: np.ndarray) -> int:
+    """A number for equal sets."""
+    return xxhash.xxh3_64_intdigest(keys.tobytes()) - (1 << 63)
+
+
 def common_ngrams(docs: DataFrame, n: int, scratch: Scratch) -> np.ndarray:
     """The common n-grams over all texts, rarest first: at most ``COMMON``."""
 
@@ -203,22 +208,22 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
                 [
                     chunk["doc_id"].combine_chunks().cast(pa.int64()),
                     pa.array(sizes),
-                    pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in parts]),
+                    pa.array([class_of(x) for x in parts], pa.int64()),
                     pa.array([bitmap(x) for x in parts], pa.list_(pa.int64())),
                     pa.array([x[:k].tobytes() for x, k in zip(parts, lead)]),
                 ],
-                ["doc_id", "n_shingles", "print", "map", "lead"],
+                ["doc_id", "n_shingles", "class", "map", "lead"],
             )
 
     sets = scratch.keep(
-        docs.mapInArrow(index, "doc_id bigint, n_shingles bigint, print binary, map array<bigint>, lead binary"), "sets"
-    )
-    classes = sets.where("n_shingles > 0").groupBy("print", "doc_id").agg(F.lit(1)).groupBy("print").agg(F.min("doc_id").alias("rep"))
-    of_class = scratch.keep(
-        sets.where("n_shingles > 0").select("doc_id", "print").distinct().join(classes, "print").select("doc_id", "rep"), "classes"
+        docs.mapInArrow(index, "doc_id bigint, n_shingles bigint, class bigint, map array<bigint>, lead binary"), "sets"
     )
-    reps = of_class.where("doc_id = rep").select("doc_id")
-    chosen = sets.where("n_shingles > 0").join(reps, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # Equal sets are one class; classes are indexed, met and verified, and doc_ids are tied to them at the end.
+    some = sets.where("n_shingles > 0")
+    reps = some.groupBy("class", "doc_id").agg(F.lit(1)).groupBy("class").agg(F.min("doc_id").alias("rep"))
+    reps = scratch.keep(reps, "classes")
+    own = reps.withColumnsRenamed({"class": "__class", "rep": "__rep"})
+    chosen = some.join(own, (F.col("class") == F.col("__class")) & (F.col("doc_id") == F.col("__rep")), "left_semi").dropDuplicates(["class"])
 
     def keys(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -226,23 +231,24 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
             for first in range(0, len(count), 512):
                 some = slice(first, first + 512)
                 flat = np.frombuffer(b"".join(batch["lead"].slice(first, 512).to_pylist()), np.int64)
-                rows = [np.repeat(batch[c].to_numpy()[some], count[some]) for c in ("doc_id", "n_shingles")]
+                rows = [np.repeat(batch[c].to_numpy()[some], count[some]) for c in ("class", "n_shingles")]
                 yield pa.RecordBatch.from_arrays([pa.array(flat), *map(pa.array, rows)], ["key", "id", "n"])
 
-    postings = chosen.select("doc_id", "n_shingles", "lead").mapInArrow(keys, "key bigint, id bigint, n bigint")
+    postings = chosen.select("class", "n_shingles", "lead").mapInArrow(keys, "key bigint, id bigint, n bigint")
 
     def fits(one: str, two: str):
         a, b = F.col(f"{one}n"), F.col(f"{two}n")
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        return verified(pairs, docs, sets, n, percent, order, scratch)
+        return verified(pairs, docs, chosen, reps, n, percent, order, scratch)
 
-    maps = chosen.select(F.col("doc_id").alias("id"), "map")
+    maps = chosen.select(F.col("class").alias("id"), "map")
     labels = linked(postings, ["n"], fits, verify, scratch, maps, lambda one, two: maps_allow(one, two, percent))
-    # A repeated doc_id with different texts ties its classes together.
-    ties = of_class.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    joined = labels.select(F.col("id").alias("a"), F.col("label").alias("b"))
+    ties = some.select("doc_id", "class").distinct().join(reps, "class").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    for side in ("id", "label"):
+        labels = labels.join(reps.toDF(side, f"{side}_rep"), side)
+    joined = labels.select(F.col("id_rep").alias("a"), F.col("label_rep").alias("b"))
     final = components(ties.unionAll(joined), scratch)
     return (
         sets.select("doc_id", "n_shingles")
@@ -251,10 +257,10 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     )
 
 
-def verified(pairs, docs, sets, n, percent, order, scratch) -> DataFrame:
-    """The pairs (a, b) of documents whose sets have the similarity."""
+def verified(pairs, docs, chosen, reps, n, percent, order, scratch) -> DataFrame:
+    """The pairs (a, b) of classes whose sets have the similarity."""
 
-    maps = sets.select("doc_id", "n_shingles", "map").dropDuplicates(["doc_id"])
+    maps = chosen.select("class", "n_shingles", "map")
     for side in ("a", "b"):
         pairs = pairs.join(maps.toDF(side, f"{side}_n", f"{side}_map"), side)
     pairs = scratch.keep(pairs.where(maps_allow("a_", "b_", percent)).select("a", "b"), "bounded")
@@ -263,14 +269,15 @@ def verified(pairs, docs, sets, n, percent, order, scratch) -> DataFrame:
         hasher = SpanHasher()
         for chunk in text_chunks(batches):
             keys, starts = ordered_sets(chunk["text"], n, order.value, hasher)
-            parts = [keys[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            yield pa.RecordBatch.from_arrays([chunk["doc_id"].combine_chunks().cast(pa.int64()), pa.array(parts, pa.binary())], ["id", "keys"])
-
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    full = scratch.keep(
-        docs.join(ends, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets_of, "id bigint, keys binary").dropDuplicates(["id"]),
-        "full",
-    )
+            parts = [keys[a:b] for a, b in zip(starts[:-1], starts[1:])]
+            ids = pa.array([class_of(x) for x in parts], pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, pa.array([x.tobytes() for x in parts], pa.binary())], ["id", "keys"])
+
+    ends = pairs.select(F.col("a").alias("class")).unionAll(pairs.select(F.col("b").alias("class"))).distinct()
+    holders = reps.join(ends, "class", "left_semi").select(F.col("rep").alias("doc_id")).distinct()
+    # All texts of a doc_id come; those of other classes go again.
+    texts = docs.join(holders, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets_of, "id bigint, keys binary")
+    full = scratch.keep(texts.join(ends.withColumnRenamed("class", "id"), "id", "left_semi").dropDuplicates(["id"]), "full")
     # A probe with many partners is spread over blocks of about _BLOCK of them, so no trie is unbounded.
     blocks = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
     members = pairs.join(blocks, "b").select("b", F.expr("pmod(xxhash64(a), blocks)").cast("int").alias("block"), F.col("a").alias("id"))

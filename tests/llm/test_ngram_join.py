@@ -54,6 +54,17 @@ def test_repeated_ids_and_empty_table(spark):
     assert {i: c for i, (_, c) in found.items()} == {1: 1, 2: 1, 3: 1}
 
 
+def test_every_text_of_an_id_links(spark):
+    def near(name, k):
+        return " ".join(f"{name}{j}" if j else f"{name}x{k}" for j in range(40))
+
+    rows = []
+    for k in range(8):  # each id has two texts, and a near copy of either is another id
+        a, b = f"a{k}w", f"b{k}w"
+        rows += [(10 * k, near(a, 0)), (10 * k, near(b, 0)), (10 * k + 1, near(a, 1)), (10 * k + 2, near(b, 1))]
+    assert {i: c for i, (_, c) in result(docs(spark, rows)).items()} == {i: i // 10 * 10 for i, _ in rows}
+
+
 sets_of = st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=30), min_size=1, max_size=12)
 
 
