@@ -11,7 +11,9 @@ fraction; these residuals meet in groups of groups, ``FAN`` at a time, until one
 seed, source, level and group alone, so that runs agree.
 
 Defined results: null or empty text has size 0 and takes nothing. A null source is a source of its own, last in order. Rows
-equal in doc_id, source and size are one document that stands several times: all get equal copies. Null ids count as equal.
+equal in doc_id, source, size and text hash are one document that stands several times. Of its ``times`` rows, the whole part of
+``times * x`` take one copy more for certain, and one row's leftover fraction is rounded, so that a repeated row weighs as one of its rows. Null
+ids count as equal.
 If all sizes are 0, all targets are 0. An empty table gives an empty result. Only doc_id, text and source are read.
 """
 
@@ -84,18 +86,22 @@ def rounded(fractions: np.ndarray, words: np.ndarray, random: np.random.Generato
 
 
 def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """doc_id, source, size, times (equal rows), source_size, target, copies of every different document."""
+    """doc_id, source, size, print (text hash), times (equal rows), source_size, target, copies of every different document.
+
+    Where some of equal rows take one copy more than the others, there is a row for either.
+    """
     scratch = Scratch(docs.sparkSession)
-    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sizes = scratch.keep(sizes.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times")), "sizes")
+    sizes = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("print"))
+    sizes = scratch.keep(sizes.groupBy("doc_id", "source", "size", "print").agg(F.count(F.lit(1)).alias("times")), "sizes")
     by_source = scratch.keep(targets(sizes, scratch, weights, share, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(most))).otherwise(0.0)
     groups = F.ceil(F.col("documents") / GROUP)
     known = by_source.withColumnRenamed("source", "of")
+    more = F.when(F.col("size") > 0, F.col("times") * (rate - F.floor(rate))).otherwise(0.0)  # rows with one copy more
     units = sizes.join(known, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "source", "size", "times", "source_size", "target", F.floor(rate).cast("bigint").alias("base"),
-        F.when(F.col("size") > 0, rate - F.floor(rate)).otherwise(0.0).alias("x"),
-        F.pmod(F.xxhash64("doc_id", "size"), groups).cast("bigint").alias("part"),
+        "doc_id", "source", "size", "print", "times", "source_size", "target", F.floor(rate).cast("bigint").alias("base"),
+        F.floor(more).cast("bigint").alias("sure"), (more - F.floor(more)).alias("x"),
+        F.pmod(F.xxhash64("doc_id", "size", "print"), groups).cast("bigint").alias("part"),
     )
     levels, count = 1, by_source.agg(F.max(groups)).first()[0] or 1
     while count > 1:
@@ -104,10 +110,10 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
     def reduce(level: int):
         def one(group: pa.Table) -> pa.Table:
             # Long documents first, so that a residual tends to be short.
-            group = group.take(pc.sort_indices(group, [("size", "descending"), ("doc_id", "ascending"), ("times", "ascending")]))
+            group = group.take(pc.sort_indices(group, [("size", "descending"), ("doc_id", "ascending"), ("print", "ascending"), ("times", "ascending")]))
             part = group["part"][0].as_py()
             random = np.random.default_rng(xxhash.xxh3_64_intdigest(f"{seed} {level} {part} {group['source'][0].as_py()!r}"))
-            x, held = rounded(group["x"].to_numpy(), pc.multiply(group["size"], group["times"]).to_numpy(), random)
+            x, held = rounded(group["x"].to_numpy(), group["size"].to_numpy(), random)
             if held >= 0 and level == levels - 1:
                 x[held] = float(random.random() < x[held])
             names = group.column_names
@@ -125,23 +131,48 @@ def mixed(docs: DataFrame, seed: int = 0, weights=WEIGHTS, share: float = SHARE,
     rows = settled[0]
     for more in settled[1:]:
         rows = rows.unionAll(more)
-    return rows.select(
-        "doc_id", "source", "size", "times", "source_size", "target", (F.col("base") + F.col("x").cast("bigint")).alias("copies")
+    raised = F.col("sure") + F.col("x").cast("bigint")
+    both = F.array(
+        F.struct((F.col("times") - raised).alias("times"), F.col("base").alias("copies")),
+        F.struct(raised.alias("times"), (F.col("base") + 1).alias("copies")),
     )
+    rows = rows.withColumn("taken", F.explode(F.filter(both, lambda z: z["times"] > 0)))
+    return rows.select("doc_id", "source", "size", "print", "taken.times", "source_size", "target", "taken.copies")
 
 
 def repeated(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    own = docs.withColumn("__size", word_count(F.col("text")))
+    ids = ["doc_id", "source", "size", "print"]
+    names = ["__id", "__source", "__words", "__print"]
+    taken = mix.groupBy(*ids).agg(
+        F.min("copies").alias("__low"), F.max("copies").alias("__high"), F.min_by("times", F.col("copies")).alias("__lower")
+    ).withColumnsRenamed(dict(zip(ids, names)))
+    own = docs.withColumns({"__size": word_count(F.col("text")), "__own": F.xxhash64("text")})
     same = (
-        F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (F.col("__size") == F.col("__words"))
-    )
-    taken = mix.where("copies > 0").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__words"), F.col("copies").alias("__copies")
+        F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+        & (F.col("__size") == F.col("__words")) & (F.col("__own") == F.col("__print"))
     )
-    return own.join(taken, same).select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))).alias("__copy")
-    ).drop("__copy")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+
+    def copied(rows: DataFrame, copies: Column) -> DataFrame:
+        many = rows.withColumn("__copies", copies.cast("int")).where("__copies > 0")
+        return many.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
+
+    alike = copied(own.join(taken.where("__high > 0 and __low = __high"), same), F.col("__low"))
+    parted = taken.where("__low < __high")
+    if parted.isEmpty():
+        return alike
+    # Of equal rows, the first by number take the lower count. A global order, so that no task has all rows of one document.
+    rows = own.join(parted, same)
+    spread = [F.col(c).asc_nulls_last() for c in names] + [F.xxhash64(*columns)]
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.keep(with_row_number(rows, spread, "__n"), "numbered")
+    least = rows.groupBy(*names).agg(F.min("__n").alias("__least")).toDF(*[f"{c}_of" for c in names], "__least")
+    equal = F.lit(True)
+    for c in names:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"{c}_of"))
+    rows = rows.join(least, equal)
+    return alike.unionByName(copied(rows, F.when(F.col("__n") - F.col("__least") < F.col("__lower"), F.col("__low")).otherwise(F.col("__high"))))
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

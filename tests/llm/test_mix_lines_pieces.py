@@ -72,6 +72,19 @@ def test_mix_of_odd_rows(spark):
     assert sm.mixed(docs(spark, [])).count() == 0 and sm.mixed(docs(spark, [(1, ""), (2, None)])).agg({"copies": "sum"}).first()[0] == 0
 
 
+def test_mix_of_a_row_that_stands_often(spark):
+    rows = [(k, "w " * 100, None, "s") for k in range(400)] + [(9999, "v " * 50, None, "s")] * 400 + [(None, f"x{k} " * 50, None, "s") for k in range(200)]
+    df = docs(spark, rows).repartition(4)
+    for seed in range(2):
+        found = sm.mixed(df, seed, weights=(1,), share=0.5).collect()
+        target = 0.5 * (40_000 + 20_000 + 10_000)
+        assert sum(r.times for r in found) == len(rows) and abs(sum(r.size * r.copies * r.times for r in found) - target) <= 100
+    mix = sm.mixed(df, 1, weights=(1,), share=0.5)
+    got = sm.repeated(df, mix).collect()
+    assert abs(sum(len(words(r.text)) for r in got) - target) <= 100
+    assert sum(r.doc_id == 9999 for r in got) in (200, 201) and len({r.text for r in got if r.doc_id is None}) < 200
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.tuples(st.floats(0, 1), st.integers(1, 1000)), max_size=40), st.integers(0, 99))
 def test_rounding_keeps_the_words(pairs, seed):
