@@ -65,7 +65,7 @@ def _compiled(own: tuple[Rule, ...]):
         by_key.setdefault(rule.keyword, []).append(k)
     automaton = ahocorasick.Automaton()
     for key, numbers in by_key.items():
-        automaton.add_word(f" {key}", numbers)
+        automaton.add_word(key, numbers)  # anywhere, as in freebsd and 0bsd
     automaton.make_automaton()
     return automaton, [re.compile(f"(?<= )(?:{r.pattern})(?= )") for r in own]
 

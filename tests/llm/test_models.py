@@ -122,6 +122,45 @@ def test_licenses_against_plain_scanning(spark):
         assert {tuple(h) for h in r.hits} == {tuple(h) for h in kept}
 
 
+def alternatives(pattern):
+    """Texts that a pattern of the rules matches: every way through its groups, once with and once without optional parts."""
+    import itertools
+    from re import _parser
+
+    def ways(parsed):
+        parts = []
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                parts.append([chr(value)])
+            elif name == "IN":
+                parts.append([chr(v) if str(o) == "LITERAL" else "4" if "DIGIT" in str(v) else "w" for o, v in value])
+            elif name == "BRANCH":
+                parts.append([x for branch in value[1] for x in ways(branch)])
+            elif name == "SUBPATTERN":
+                parts.append(ways(value[3]))
+            elif name == "MAX_REPEAT":
+                parts.append([""] * (value[0] == 0) + ways(value[2]))
+            else:
+                raise AssertionError(name)
+        return ["".join(x) for x in itertools.product(*parts)]
+
+    return ways(_parser.parse(pattern))
+
+
+def test_every_alternative_of_a_rule_passes_the_gate():
+    own = tuple(ls.rules())
+    patterns = ls._compiled(own)[1]
+    for label, key, pattern in [*ls.NAMES, *ls.NOTICES]:
+        for text in alternatives(pattern):
+            for words in (f" {text} ", f" licensed under the {text} "):
+                plain = {(own[k].label, m.start(), m.end()) for k, p in enumerate(patterns) for m in p.finditer(words) if own[k].label == label}
+                starts = {(h.label, h.first, h.end) for h in ls.gated(words, own) if h.label == label}
+                assert plain and {(x, words.count(" ", 0, a) - 1, words.count(" ", 0, b)) for x, a, b in plain} == starts, text
+    assert {h.label for h in ls.gated(ls.padded_words("Licensed under the FreeBSD license")[0], own)} == {"bsd-2-clause"}
+    assert {h.label for h in ls.gated(ls.padded_words("released under 0BSD")[0], own)} == {"0bsd"}
+
+
 def test_license_labels(spark):
     df = ls.scanned(docs(spark, list(enumerate(TEXTS))))
     labels = {r.doc_id: {h.label for h in r.hits} for r in df.collect()}
