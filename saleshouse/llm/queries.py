@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import language_id, license_scan, line_dedup, ngram_join, quality_model, quality_rules, sentencepiece_sa, source_mix, url_filter, vector_search
+from . import (
+    conversation_trie, language_id, license_scan, line_dedup, ngram_join, quality_model, quality_rules, sentencepiece_sa, source_mix, url_filter, vector_search, whitening,
+)
 
 QUERIES = {
     "op1_url_aliases": url_filter.op1_url_aliases,
@@ -15,6 +17,8 @@ QUERIES = {
     "op8_license_rules": license_scan.op8_license_rules,
     "op9_fuzzy_lines": line_dedup.op9_fuzzy_lines,
     "op10_sentencepiece": sentencepiece_sa.op10_sentencepiece,
+    "op11_prefix_trie": conversation_trie.op11_prefix_trie,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 SQL = {
