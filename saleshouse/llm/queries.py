@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (
-    conversation_trie, language_id, license_scan, line_dedup, ngram_join, quality_model, quality_rules, sentencepiece_sa, source_mix, url_filter, vector_search, whitening,
+    conversation_trie, language_id, license_scan, line_dedup, ngram_join, parse_dedup, quality_model, quality_rules, sentencepiece_sa, source_mix, url_filter, vector_search, whitening,
 )
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_fuzzy_lines": line_dedup.op9_fuzzy_lines,
     "op10_sentencepiece": sentencepiece_sa.op10_sentencepiece,
     "op11_prefix_trie": conversation_trie.op11_prefix_trie,
+    "op12_prefix_free": parse_dedup.op12_prefix_free,
     "op13_whitening": whitening.op13_whitening,
 }
 
