@@ -141,20 +141,30 @@ def removed(held: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def repeated_ranges(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, ranges) for the different texts (id, text) that hold repeated strings: ranges of their starts."""
-    parse = parsed(texts)
-    twice = parse.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    """(id, lo, hi) for the different texts (id, print, text; dealt by print) that hold repeated strings: ranges of their starts."""
+    parse = parsed(texts.select("id", "text"))
+    # Kept before it is joined, so that Spark can split a key that very many phrases have.
+    twice = scratch.keep(parse.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "keys")
     shared = scratch.keep(parse.join(twice, "key", "left_semi"), "phrases")
     classes = shared.groupBy("key", "phrase").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "lo", "hi")).alias("one"))
     classes = scratch.keep(classes, "dictionary")
     whole = shared.join(classes.where("n > 1").select("key", "phrase"), ["key", "phrase"], "left_semi").select("id", "lo", "hi")
 
-    mixed = classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key")
-    ranges = classes.join(mixed, "key", "left_semi").select("one.*").groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
-    strings = scratch.keep(strings_of(texts.join(ranges, "id")), "strings")
-    again = strings.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s1", "s2")
+    mixed = scratch.keep(classes.groupBy("key").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key"), "mixed")
+    open_ = classes.join(mixed, "key", "left_semi").select("one.*")
+    strings = scratch.keep(strings_of(with_ranges(texts, open_)), "strings")
+    again = scratch.keep(strings.groupBy("s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s1", "s2"), "again")
     single = strings.join(again, ["s1", "s2"], "left_semi").select("id", F.col("p").alias("lo"), F.col("p").alias("hi"))
-    return whole.unionAll(single).groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    found = scratch.keep(whole.unionAll(single), "ranges")
+    scratch.drop(twice, shared, classes, mixed, strings, again)
+    return found
+
+
+def with_ranges(texts: DataFrame, ranges: DataFrame) -> DataFrame:
+    """id, print, text and ranges of the texts for which there are ``ranges`` (id, lo, hi); the texts stay where they lie."""
+    lists = ranges.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    named = lists.join(texts.select("id", "print"), "id").select("print", "ranges")
+    return texts.select("print", "id", "text").join(named, "print")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -163,9 +173,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select("doc_id", "text", raw.alias("raw"), F.unhex(F.sha2(raw, 256)).alias("print"), F.octet_length(raw).cast("bigint").alias("n_bytes"))
     texts = rows.where(F.col("n_bytes") >= LENGTH).groupBy("print").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("times"))
-    texts = scratch.keep(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
-    ranges = scratch.keep(repeated_ranges(texts.select("id", "text"), scratch), "ranges")
-    shorter = removed(texts.where("times = 1").join(ranges, "id").select("print", "text", "ranges"))
+    texts = scratch.keep_dealt(texts.withColumn("id", F.monotonically_increasing_id()), "texts", "print")
+    shorter = removed(with_ranges(texts.where("times = 1"), repeated_ranges(texts, scratch)).select("print", "text", "ranges"))
     gone = texts.where("times > 1").select("print", F.lit(True).alias("gone"))
     verdicts = shorter.withColumn("gone", F.lit(False)).unionByName(gone, allowMissingColumns=True)
     all_gone, zero, one = F.coalesce("gone", F.lit(False)), F.lit(0).cast("bigint"), F.lit(1).cast("bigint")

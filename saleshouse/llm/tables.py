@@ -35,6 +35,17 @@ class Scratch:
         self.paths[id(table)] = (table, path)
         return table
 
+    def keep_dealt(self, df: DataFrame, label: str, column: str) -> DataFrame:
+        """Like `keep`, in buckets by a column's hash: joins on the column read the table where it lies, without a shuffle."""
+        path = fresh_path(self.spark, label)
+        name = f"saleshouse_{label}_{path[-12:]}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(name)
+        table = self.spark.table(name)
+        self.spark.sql(f"DROP TABLE {name}")  # the name only: files at a path of their own stay
+        self.paths[id(table)] = (table, path)
+        return table
+
     def drop(self, *tables: DataFrame) -> None:
         for table in tables:
             found = self.paths.pop(id(table), None)
