@@ -262,3 +262,36 @@ def prefix_trie(conversations: DataFrame, shard: int = SHARD, band_size: int = B
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie of rebuilt conversations."""
     return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+SQL = """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (  -- h: crc32 of the id's digits, a byte at a time, eight steps for each bit
+  SELECT c, max(pos) AS n, c - c % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(c::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+             lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 6 AS h
+  FROM t GROUP BY c),
+rebuilt AS (
+  SELECT s.c, t.pos, t.r, t.x FROM s JOIN t ON t.c = s.base AND t.pos <= s.h
+  UNION ALL
+  SELECT s.c, t.pos - s.h + least(s.h, coalesce(b.n, 0)), t.r, t.x FROM s LEFT JOIN s AS b ON b.c = s.base JOIN t ON t.c = s.c AND t.pos > s.h),
+member AS (
+  SELECT c, pos AS depth, length(x) AS chars, string_agg(to_json([r, x])::VARCHAR, ',') OVER (PARTITION BY c ORDER BY pos) AS path FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM s),
+total AS (SELECT c, max(depth) AS depth FROM member GROUP BY c),
+node AS (
+  SELECT m.path, m.depth, min(m.c) AS conv_id, count(*) AS n_convs, any_value(m.chars) AS chars,
+         coalesce(string_agg(m.c::VARCHAR, ',' ORDER BY m.c) FILTER (WHERE l.depth = m.depth), '') AS ends
+  FROM member m JOIN total l ON l.c = m.c GROUP BY m.path, m.depth),
+up AS (SELECT n.path, p.path AS parent, q.conv_id AS parent_conv_id FROM node n JOIN member p ON p.c = n.conv_id AND p.depth = n.depth - 1 JOIN node q ON q.path = p.path AND q.depth = p.depth),
+kids AS (SELECT parent AS path, count(*) AS n_children FROM up GROUP BY parent),
+below AS (
+  SELECT a.path, sum((k.path IS NULL)::BIGINT) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved
+  FROM node n JOIN member a ON a.c = n.conv_id AND a.depth <= n.depth LEFT JOIN kids k ON k.path = n.path GROUP BY a.path)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, b.n_leaves::BIGINT AS n_leaves,
+       b.saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n LEFT JOIN up ON up.path = n.path LEFT JOIN kids k ON k.path = n.path JOIN below b ON b.path = n.path
+"""

@@ -190,3 +190,21 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op12_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that repeat anywhere in strings of 200 bytes, taken out."""
     return without_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+n AS (SELECT k, doc_id, raw, octet_length(raw) AS n_bytes FROM d),
+w AS (SELECT k, p, raw[p + 1:p + 200] AS s FROM (SELECT k, raw, unnest(range(0, n_bytes - 199)) AS p FROM n)),
+again AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT k, p, p > coalesce(lag(p) OVER (PARTITION BY k ORDER BY p) + 200, -1) AS new FROM w SEMI JOIN again USING (s)),
+numbered AS (SELECT k, p, sum(new::BIGINT) OVER (PARTITION BY k ORDER BY p) AS g FROM hit),
+span AS (SELECT k, g, min(p) AS lo, max(p) + 200 AS hi FROM numbered GROUP BY k, g),
+piece AS (  -- what stays before each span, and after the last
+  SELECT k, coalesce(lag(hi) OVER (PARTITION BY k ORDER BY lo), 0) AS a, lo AS b FROM span
+  UNION ALL SELECT n.k, coalesce(max(span.hi), 0), any_value(n.n_bytes) FROM n LEFT JOIN span ON span.k = n.k GROUP BY n.k),
+kept AS (SELECT k, string_agg(hex(raw[a + 1:b]), '' ORDER BY a) AS rest FROM piece JOIN n USING (k) WHERE b > a GROUP BY k),
+gone AS (SELECT k, sum(hi - lo)::BIGINT AS n_removed, count(*) AS n_spans FROM span GROUP BY k)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, ''))) AS kept_sha256
+FROM n LEFT JOIN gone USING (k) LEFT JOIN kept USING (k)
+"""

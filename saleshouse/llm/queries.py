@@ -25,4 +25,6 @@ QUERIES = {
 SQL = {
     "op1_url_aliases": url_filter.SQL,
     "op6_quality_cascade": quality_rules.SQL,
+    "op11_prefix_trie": conversation_trie.SQL,
+    "op12_prefix_free": parse_dedup.SQL,
 }

@@ -71,11 +71,14 @@ def with_rule(df: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame
 
 
 def alias_links(pages: DataFrame) -> DataFrame:
-    """(a, b): addresses that a redirect or a canonical link makes one. ``pages``: html, host, path, node."""
+    """(a, b): addresses that a redirect or a canonical link makes one. ``pages``: html, host, path, node.
+
+    A tag may go over several lines. Tags inside comments count like others.
+    """
     tags = F.regexp_extract_all("html", F.lit("(?i)<(?:link|meta)\\s[^>]*>"), F.lit(0))
     tag = pages.where("node is not null").select("host", "path", "node", F.explode(tags).alias("tag"))
-    refresh = F.col("tag").rlike("(?i)^<meta\\s.*http-equiv\\s*=\\s*[\"']?refresh")
-    canonical = F.col("tag").rlike("(?i)^<link\\s.*rel\\s*=\\s*[\"']?canonical")
+    refresh = F.col("tag").rlike("(?is)^<meta\\s.*http-equiv\\s*=\\s*[\"']?refresh")
+    canonical = F.col("tag").rlike("(?is)^<link\\s.*rel\\s*=\\s*[\"']?canonical")
     target = F.when(
         canonical, F.regexp_extract("tag", "(?i)href\\s*=\\s*[\"']?\\s*([^\"'\\s>]*)", 1)
     ).when(refresh, F.regexp_extract("tag", "(?i)url\\s*=\\s*[\"']?\\s*([^\"'\\s>]*)", 1))

@@ -18,6 +18,8 @@ PAGES = [
     (13, "x://y://z.net/fr/", None),
     (14, "http://deep.www.example.com/en/", None),
     (14, "http://deep.www.example.com/en/", None),
+    (15, "http://e.info/1", '<link href="http://a.net/es/x"\n  rel="canonical">'),
+    (16, "http://e.info/2", '<meta content="0; url=http://a.net/es/x"\r\n http-equiv="refresh">'),
 ]
 
 
@@ -31,6 +33,7 @@ def test_aliases_against_sql(spark):
     verdict = {r[0]: r[4] for r in got}
     assert [verdict[i] for i in (1, 2, 3, 4, 5)] == ["block", "allow", "block", "block", "block"]  # 2 is allowed by its own rule
     assert [verdict[i] for i in (6, 7, 8, 9, 10, 11)] == ["allow", "allow", "allow", "allow", "block", "block"]
+    assert [verdict[i] for i in (15, 16)] == ["block", "block"]
     assert [verdict[i] for i in (12, 13, 14)] == ["allow", "allow", "allow"]
 
 
