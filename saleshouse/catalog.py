@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 from .functions import columns as C
 from .functions import fixed_values as V
 from .operators import scd2, storage
-from .plans import analytics, dims, fact, quality, querylog, reports, staging, summaries
+from .plans import analytics, deltas, dims, fact, quality, querylog, reports, staging, summaries
 from .plans.warehouse import Warehouse
-from .sources import convert, files, layout, tables
+from .sources import convert, files, layout, tables, textindex
 from .streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ LOST_PART, LOST_COUNTRY = 83, 79  # lines whose part number these divide name a
 ASTRAY = 50  # fact rows whose sales key this divides get a key that no dimension has
 SLICE = (19960101, 19960331)
 MERGE_YEAR = (19960101, 19961231)
-LOOKUP = {"invoice": "100", "customer": 1, "product": "100", "country": "NATION_7", "text": "ring", "log": "purchase"}
+LOOKUP = {"invoice": "100", "customer": 1, "product": "100", "country": "NATION_7", "text": "ring", "letters": "ri", "log": "purchase"}
 TRACE = ("sales-1998.csv", 100000, 105000)
 LOG_PAIR = ("10", "20")
 SAMPLE_DAYS = [date(1995, 1, 1), date(1996, 6, 15), date(1998, 12, 25), date(2000, 12, 31)]
@@ -184,34 +184,32 @@ def _fact_slice_reload(w: Warehouse, spark: SparkSession) -> DataFrame:
     return layout.reload_slice(spark, path, corrected, first, last).drop("_loaded_at")
 
 
-def _mv_refresh(w: Warehouse, spark: SparkSession) -> DataFrame:
-    """Customer revenue after the slice reload: only customers of the slice are recomputed."""
-    first, last = SLICE
-    slice_rows = w.clustered_fact.where(layout.month_filter(first, last))
-    after = w.fact.where(~F.col("date_key").between(first, last) | (F.col("quantity") > 5))
+def _slice_change(w: Warehouse) -> DataFrame:
+    """The slice reload as a change: the days' lines go, the larger ones come."""
+    rows = w.clustered_fact.where(layout.month_filter(*SLICE))
+    return deltas.signed(rows.where("quantity > 5"), rows)
 
-    def recompute(keys: DataFrame) -> DataFrame:
-        mine = after.join(keys, "customer_key", "left_semi")
-        return summaries.customer_summary(mine, w.customers, w.countries, w.dates)
 
-    refreshed = storage.publish(
-        summaries.refresh_keyed(w.customer_summary, "customer_key", slice_rows, recompute), storage.fresh_path(spark, "customer-summary")
-    )
-    return refreshed.drop("customer_key")
+def _mv_refresh(w: Warehouse, spark: SparkSession) -> DataFrame:
+    """The customer summary after the slice reload, from its state and the change."""
+    kept = summaries.CUSTOMER_STATE
+    change = deltas.State(*map(_kept("customer-change"), summaries.customer_state(_slice_change(w), w.dates)))
+    _, part = deltas.merged(w.customer_state, change, kept)
+    rows = deltas.refreshed(w.customer_summary, part, change, kept, lambda f: summaries.customer_figures(f, w.customers, w.countries))
+    return storage.publish(rows, storage.fresh_path(spark, "customer-summary")).drop("customer_key")
 
 
 def _mv_refresh_products(w: Warehouse, spark: SparkSession) -> DataFrame:
     """The same for products."""
-    first, last = SLICE
-    slice_rows = w.clustered_fact.where(layout.month_filter(first, last))
-    after = w.fact.where(~F.col("date_key").between(first, last) | (F.col("quantity") > 5))
+    kept = summaries.PRODUCT_STATE
+    change = deltas.State(*map(_kept("product-change"), summaries.product_state(_slice_change(w), w.dates)))
+    _, part = deltas.merged(w.product_state, change, kept)
+    rows = deltas.refreshed(w.product_summary, part, change, kept, lambda f: summaries.product_figures(f, w.products, w.categories))
+    return storage.publish(rows, storage.fresh_path(spark, "product-summary"))
 
-    def recompute(keys: DataFrame) -> DataFrame:
-        return summaries.product_summary(after.join(keys, "product_key", "left_semi"), w.products, w.categories, w.dates)
 
-    return storage.publish(
-        summaries.refresh_keyed(w.product_summary, "product_key", slice_rows, recompute), storage.fresh_path(spark, "product-summary")
-    )
+def _kept(label: str) -> Callable[[DataFrame], DataFrame]:
+    return lambda df: storage.materialize(df, label)
 
 
 def _mv_refresh_daily(w: Warehouse, spark: SparkSession) -> DataFrame:
@@ -228,6 +226,12 @@ def _layout_cluster(w: Warehouse, spark: SparkSession) -> DataFrame:
     return spark.read.parquet(path).drop(layout.MONTH)
 
 
+def _layout_substring(w: Warehouse, spark: SparkSession, text: str) -> DataFrame:
+    path = storage.fresh_path(spark, "product-grams")
+    textindex.write_index(w.products, path, "product_key", "description", 16)
+    return textindex.search(spark, path, "product_key", "description", text)
+
+
 def _layout_lookup(w: Warehouse, spark: SparkSession) -> DataFrame:
     path = storage.fresh_path(spark, "products-by-code")
     layout.write_point_lookup(w.products, path, "stock_code")
@@ -512,7 +516,8 @@ def queries() -> dict[str, Query]:
         "layout_cluster": _with(lambda w, s, d: _layout_cluster(w, s)),
         "layout_depth": _with(lambda w, s, d: layout.depth(layout.file_ranges(s, w.fact_path, "date_key"))),
         "layout_point_lookup": _with(lambda w, s, d: _layout_lookup(w, s)),
-        "layout_substring": _over(lambda w: layout.substring_search(w.products, "description", LOOKUP["text"])),
+        "layout_substring": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["text"])),
+        "layout_substring_short": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["letters"])),
         "qlog_slowest": _log(lambda log, now: querylog.slowest(log, now, "sales")),
         "qlog_most_scanned": _log(lambda log, now: querylog.most_scanned(log, now, "sales")),
         "qlog_by_user": _log(lambda log, now: querylog.by_user(log, now, "sales")),

@@ -934,6 +934,7 @@ def _report_answers() -> dict[str, tuple[str, str]]:
         "pat_point_lookup": (_CUST_SPEC, f"SELECT * FROM cust WHERE customer_id = {K.LOOKUP['customer']}"),
         "pat_range_sum": ("total_revenue:f", f"SELECT {_REVENUE} AS total_revenue FROM f WHERE date_key {_SLICE}"),
         "layout_point_lookup": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE stock_code = {_text(K.LOOKUP['product'])}"),
+        "layout_substring_short": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE contains(description, {_text(K.LOOKUP['letters'])})"),
         "layout_substring": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE contains(description, {_text(K.LOOKUP['text'])})"),
     }
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators.storage import materialize
 from ..sources.layout import MONTH, emptied_months, with_month
+from . import deltas
 from .reports import dated, day_type
 
 
@@ -26,6 +27,10 @@ def customer_summary(fact: DataFrame, customers: DataFrame, countries: DataFrame
         C.mean(F.col("total_amount"), 6).alias("avg_order_value"),
         F.max("date").alias("most_recent_order_date"),
     )
+    return _named_customers(sums, customers, countries)
+
+
+def _named_customers(sums: DataFrame, customers: DataFrame, countries: DataFrame) -> DataFrame:
     known = customers.select("customer_key", "customer_id", "country_key", "first_order_date", "last_order_date").join(
         countries.select("country_key", "country_name"), "country_key"
     )
@@ -49,8 +54,15 @@ def product_summary(fact: DataFrame, products: DataFrame, categories: DataFrame,
         F.min("date").alias("first_sale_date"),
         F.max("date").alias("last_sale_date"),
     )
+    return _named_products(sums, products, categories)
+
+
+def _named_products(sums: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
     named = products.join(categories, "category_key").select("product_key", "stock_code", "description", "category_name")
-    return named.join(sums, "product_key")
+    return named.join(sums, "product_key").select(
+        "product_key", "stock_code", "description", "category_name", "times_ordered", "total_quantity_sold", "total_revenue",
+        "avg_selling_price", "unique_customers", "first_sale_date", "last_sale_date",
+    )
 
 
 def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
@@ -107,6 +119,42 @@ def refresh_keyed(summary: DataFrame, key: str, touched: DataFrame, recompute) -
     return untouched.unionByName(recompute(keys).select(*summary.columns))
 
 
+# --- summaries kept by what was added and removed (see `deltas`)
+
+CUSTOMER_STATE = deltas.Kept("customer_key", ("quantity", "total_amount"), ("invoice_no", "date"))
+PRODUCT_STATE = deltas.Kept("product_key", ("quantity", "total_amount", "unit_price"), ("invoice_no", "customer_key", "date"))
+
+
+def customer_state(fact: DataFrame, dates: DataFrame) -> deltas.State:
+    """The state of fact rows, or of a change of them (`deltas.signed`)."""
+    return deltas.state_of(dated(fact, dates, "date"), CUSTOMER_STATE)
+
+
+def product_state(fact: DataFrame, dates: DataFrame) -> deltas.State:
+    return deltas.state_of(dated(fact, dates, "date"), PRODUCT_STATE)
+
+
+def customer_figures(figures: DataFrame, customers: DataFrame, countries: DataFrame) -> DataFrame:
+    """`customer_summary` from the figures of a state."""
+    sums = figures.select(
+        "customer_key", F.col("invoice_no__values").alias("total_orders"), F.col("quantity").cast("bigint").alias("total_items_purchased"),
+        F.col("total_amount").alias("lifetime_revenue"), deltas.mean_of("total_amount", 6).alias("avg_order_value"),
+        F.to_date("date__last").alias("most_recent_order_date"),
+    )
+    return _named_customers(sums, customers, countries)
+
+
+def product_figures(figures: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
+    """`product_summary` from the figures of a state."""
+    sums = figures.select(
+        "product_key", F.col("invoice_no__values").alias("times_ordered"), F.col("quantity").cast("bigint").alias("total_quantity_sold"),
+        F.col("total_amount").alias("total_revenue"), deltas.mean_of("unit_price", 6).alias("avg_selling_price"),
+        F.col("customer_key__values").alias("unique_customers"), F.to_date("date__first").alias("first_sale_date"),
+        F.to_date("date__last").alias("last_sale_date"),
+    )
+    return _named_products(sums, products, categories)
+
+
 # --- dashboard queries
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import storage
 from ..sources import layout
-from . import dims, fact, staging, summaries
+from . import deltas, dims, fact, staging, summaries
 
 
 class Warehouse:
@@ -77,6 +77,18 @@ class Warehouse:
     def product_summary(self) -> DataFrame:
         return self._table(summaries.product_summary(self.fact, self.products, self.categories, self.dates), "mv_product_summary")
 
+    def _state(self, state: deltas.State, name: str) -> deltas.State:
+        return deltas.State(*[self._table(df, f"{name}_{part}") for part, df in state._asdict().items()])
+
+    @cached_property
+    def customer_state(self) -> deltas.State:
+        """What keeps the customer summary current without the fact."""
+        return self._state(summaries.customer_state(self.fact, self.dates), "mv_customer_state")
+
+    @cached_property
+    def product_state(self) -> deltas.State:
+        return self._state(summaries.product_state(self.fact, self.dates), "mv_product_state")
+
     @cached_property
     def daily_path(self) -> str:
         path = f"{self.base}/mv_daily_sales"
