@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .functions import columns as C
 from .functions import fixed_values as V
 from .operators import scd2, storage
+from .operators.ordering import with_row_number
 from .plans import analytics, deltas, dims, fact, quality, querylog, reports, staging, summaries
 from .plans.warehouse import Warehouse
 from .sources import convert, files, layout, tables, textindex
@@ -137,9 +138,11 @@ def _customer_changes(w: Warehouse, spark: SparkSession, folder: str) -> DataFra
 
 
 def _scd2_apply(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
-    named = w.countries.select("country_key", F.col("country_name").alias("country"))
-    # A move to a country that the dimension lacks is a change too: its key stays empty.
-    changes = _customer_changes(w, spark, folder).join(named, "country", "left").select("customer_id", "country_key")
+    moved = _customer_changes(w, spark, folder)
+    # A move to a country that the dimension lacks brings the country with it.
+    countries = storage.materialize(dims.add_countries(w.countries, moved.select(F.col("country").alias("country_name")), w.regions), "countries")
+    named = countries.select("country_key", F.col("country_name").alias("country"))
+    changes = moved.join(named, "country", "left").select("customer_id", "country_key")
     at = F.lit(CHANGE_TIME).cast("timestamp_ntz")
     published = storage.publish(
         scd2.apply(w.customers, changes, "customer_id", "customer_key", at), storage.fresh_path(spark, "customer-versions")
@@ -147,6 +150,37 @@ def _scd2_apply(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
     return published
 
 
+def _scd2_deliver(w: Warehouse) -> DataFrame:
+    """Customers' countries from two deliveries: the odd days first, then, long after, the even ones."""
+    rows = staging.valid(w.stg).where("customer_id is not null")
+    odd = F.dayofmonth("invoice_date") % 2 == 1
+    held = storage.materialize(scd2.observations(rows.where(odd), "customer_id", "invoice_date", ["country"]), "observed")
+    first = scd2.versions(held, "customer_id", ["country"])
+    dim = storage.materialize(with_row_number(first, [F.col("customer_id"), F.col(scd2.FROM)], "customer_key"), "versions")
+    after, _ = scd2.deliver(dim, held, rows.where(~odd), "customer_id", "customer_key", "invoice_date", ["country"])
+    return after.select("customer_id", F.col("country").alias("country_name"), scd2.FROM, scd2.TO, scd2.CURRENT)
+
+
+def _late_members(w: Warehouse) -> DataFrame:
+    """Lines that named unknown products and countries, after these members arrived."""
+    stg = _with_strangers(w.stg)
+    before = storage.materialize(fact.fact_unknown_member(stg, w.customers, w.products, w.countries), "unknown-members")
+    products = storage.materialize(dims.infer_products(w.products, stg), "products")
+    countries = storage.materialize(dims.add_countries(w.countries, stg.where("is_valid").select(F.col("country").alias("country_name"))), "countries")
+    after = fact.repair_unknown(before, stg, products, countries)
+    return (
+        after.join(products.select("product_key", "stock_code"), "product_key").join(countries.select("country_key", "country_name"), "country_key")
+        .select("sales_key", "stock_code", "country_name", "quantity", "total_amount")
+    )
+
+
+def _unknown_by_country(w: Warehouse) -> DataFrame:
+    """Revenue by country of a fact with unknown members: no line is lost."""
+    sales = fact.fact_unknown_member(_with_strangers(w.stg), w.customers, w.products, w.countries)
+    sums = sales.groupBy("country_key").agg(F.count(F.lit(1)).alias("line_count"), F.sum("total_amount").alias("revenue"))
+    return dims.countries_with_unknown(w.countries).join(sums, "country_key").select("country_name", "region", "line_count", "revenue")
+
+
 def _scd2_apply_product(w: Warehouse, spark: SparkSession, folder: str) -> DataFrame:
     """Products after a price list: moved prices and new descriptions make new versions."""
     moves = scd2.detect_price_moves(tables.price_update(spark, folder), w.products, "stock_code", also=["description"])
@@ -416,6 +450,7 @@ def queries() -> dict[str, Query]:
         ),
         "scd2_apply": _with(_scd2_apply),
         "scd2_apply_product": _with(_scd2_apply_product),
+        "scd2_deliver": _over(_scd2_deliver, "moving"),
         "scd2_build": _over(lambda w: w.customers, "moving"),
         # fact
         "fact_sales": _over(lambda w: w.fact),
@@ -423,6 +458,8 @@ def queries() -> dict[str, Query]:
         "fact_sales_as_of": _over(lambda w: fact.fact_sales_as_of(w.stg, w.customers, w.products, w.countries), "moving"),
         "fact_lookup_failures": _over(lambda w: fact.lookup_failures(_with_strangers(w.stg), w.products, w.countries)),
         "fact_unknown_member": _over(lambda w: fact.fact_unknown_member(_with_strangers(w.stg), w.customers, w.products, w.countries)),
+        "fact_unknown_by_country": _over(_unknown_by_country),
+        "fact_late_members": _over(_late_members),
         "fact_slice_reload": _with(lambda w, s, d: _fact_slice_reload(w, s)),
         "fact_merge": _over(_fact_merge),
         "fact_doc_variant": _over(lambda w: fact.fact_doc_variant(staging.clean_only(w.raw), w.customers, w.products, w.dates)),

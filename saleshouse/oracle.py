@@ -721,6 +721,9 @@ def _version_answers() -> dict[str, tuple[str, str]]:
                        first_sold_date, {at}, NULL, TRUE
                 FROM n JOIN prod USING (stock_code)""",
         ),
+        "scd2_deliver": (
+            "customer_id:i country_name:s _effective_from:t _effective_to:t _is_current:b", "SELECT *, country AS country_name FROM cust",
+        ),
         "scd2_build": (_CUST_SPEC, "SELECT * FROM cust"),
     }
 
@@ -764,6 +767,16 @@ def _fact_answers() -> dict[str, tuple[str, str]]:
                        price_c / 100 AS unit_price, amount_c / 100 AS total_amount
                 FROM f JOIN (SELECT _source_row_id AS sales_key, stock_code, country FROM {strange}) USING (sales_key)""",
         ),
+        "fact_unknown_by_country": (
+            "country_name:s region:s line_count:i revenue:f",
+            f"""SELECT coalesce(country_name, 'Unknown') AS country_name, coalesce(region, {_text(V.OTHER_REGION)}) AS region, count(*) AS line_count, sum(amount_c) / 100 AS revenue
+                FROM f JOIN (SELECT _source_row_id AS sales_key, country FROM {strange}) USING (sales_key) LEFT JOIN ctry ON country = country_name GROUP BY ALL""",
+        ),
+        "fact_late_members": (
+            "sales_key:i stock_code:s country_name:s quantity:i total_amount:f",
+            f"""SELECT sales_key, x.stock_code, x.country AS country_name, quantity, amount_c / 100 AS total_amount
+                FROM f JOIN (SELECT _source_row_id AS sales_key, stock_code, country FROM {strange}) x USING (sales_key)""",
+        ),
         "fact_slice_reload": (_FACT_SPEC, f"SELECT * FROM ({_FACT_ROWS}) WHERE {_AFTER_RELOAD}"),
         "fact_merge": (
             sales,
@@ -1088,7 +1101,7 @@ def _summary_answers() -> dict[str, tuple[str, str]]:
 
 # Queries that run on the customers who move, or on one current row per customer and country.
 _VARIANT = {
-    **dict.fromkeys(["scd2_current", "scd2_as_of", "scd2_history", "scd2_build", "fact_sales_as_of", "dim_customer_checks_2"], "moving"),
+    **dict.fromkeys(["scd2_current", "scd2_as_of", "scd2_history", "scd2_build", "scd2_deliver", "fact_sales_as_of", "dim_customer_checks_2"], "moving"),
     **dict.fromkeys(["dim_customer_by_country", "fact_sales_by_country", "val_row_count_by_country"], "by_country"),
 }
 

@@ -81,17 +81,79 @@ def literal_region(country: Column) -> Column:
     return C.first_match([(country.isin(names), region) for region, names in V.REGIONS.items()], V.OTHER_REGION)
 
 
+def _placed(names: DataFrame, regions: DataFrame | None) -> DataFrame:
+    if regions is None:
+        return names.withColumn("region", literal_region(F.col("country_name")))
+    return names.join(regions, "country_name", "left").withColumn("region", F.coalesce("region", F.lit(V.OTHER_REGION)))
+
+
 def dim_country(stg: DataFrame, regions: DataFrame | None = None) -> DataFrame:
     """Countries of valid rows, keyed by name order. ``regions`` replaces the built-in region rule."""
     names = stg.where(F.col("is_valid") & F.col("country").isNotNull()).select(F.col("country").alias("country_name")).distinct()
-    if regions is None:
-        placed = names.withColumn("region", literal_region(F.col("country_name")))
-    else:
-        placed = names.join(regions, "country_name", "left").withColumn("region", F.coalesce("region", F.lit(V.OTHER_REGION)))
-    keyed = with_row_number(placed, [F.col("country_name")], "country_key")
+    keyed = with_row_number(_placed(names, regions), [F.col("country_name")], "country_key")
     return keyed.select("country_key", "country_name", F.lit(None).cast("string").alias("country_code"), "region")
 
 
+def add_countries(countries: DataFrame, names: DataFrame, regions: DataFrame | None = None) -> DataFrame:
+    """The dimension with the countries of ``names`` (country_name) that it lacks, under the next keys in name order."""
+    unseen = names.select("country_name").where("country_name is not null").distinct().join(countries, "country_name", "left_anti")
+    keyed = with_row_number(_placed(unseen, regions), [F.col("country_name")], "__n")
+    last_key = countries.agg(F.coalesce(F.max("country_key"), F.lit(0))).scalar()
+    kind = countries.schema["country_key"].dataType
+    new = keyed.select((last_key + F.col("__n")).cast(kind).alias("country_key"), "country_name", F.lit(None).cast("string").alias("country_code"), "region")
+    return countries.unionByName(new)
+
+
+# --- members that the facts know before the dimension does
+
+
+UNKNOWN = -1
+UNKNOWN_NAME = "Unknown"
+
+
+def with_unknown(dim: DataFrame, surrogate: str, **values: object) -> DataFrame:
+    """The dimension with a row for the key -1, so that joins keep the facts whose lookup failed. ``values`` fill its columns; others are null."""
+    given = {surrogate: UNKNOWN, scd2.CURRENT: True, **values}
+    row = [F.lit(given.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
+    return dim.where(F.col(surrogate) != UNKNOWN).unionByName(dim.sparkSession.range(1).select(*row))
+
+
+def products_with_unknown(products: DataFrame) -> DataFrame:
+    return with_unknown(products, "product_key", stock_code=UNKNOWN_NAME, description=UNKNOWN_NAME, category_key=V.DEFAULT_CATEGORY)
+
+
+def countries_with_unknown(countries: DataFrame) -> DataFrame:
+    return with_unknown(countries, "country_key", country_name=UNKNOWN_NAME, region=V.OTHER_REGION)
+
+
+def infer_products(products: DataFrame, stg: DataFrame) -> DataFrame:
+    """The dimension with a bare row for each stock code of valid rows that no current product has: key, code and first day only.
+
+    `complete_products` fills it when the product itself arrives; the key stays, so facts need no second repair.
+    """
+    unseen = (
+        stg.where("is_valid and stock_code is not null").groupBy("stock_code").agg(F.to_date(F.min("invoice_date")).alias("first_sold_date"))
+        .join(scd2.current(products).select("stock_code"), "stock_code", "left_anti")
+    )
+    numbered = with_row_number(unseen, [F.col("stock_code")], "__n")
+    last_key = products.agg(F.coalesce(F.max("product_key"), F.lit(0).cast("bigint"))).scalar()
+    known = {
+        "product_key": last_key + F.col("__n"), "category_key": F.lit(V.DEFAULT_CATEGORY), scd2.FROM: F.col("first_sold_date").cast("timestamp_ntz"),
+        scd2.CURRENT: F.lit(True), "stock_code": F.col("stock_code"), "first_sold_date": F.col("first_sold_date"),
+    }
+    return products.unionByName(numbered.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in products.schema.fields]))
+
+
+def complete_products(products: DataFrame, arrived: DataFrame) -> DataFrame:
+    """Bare rows filled from ``arrived`` (stock_code and any columns, one row a code): what is null takes the arrived value, nothing else changes."""
+    scd2.reject_duplicates(arrived, ["stock_code"])
+    given = [c for c in arrived.columns if c != "stock_code"]
+    late = arrived.select("stock_code", F.struct(*given).alias("__late"))
+    bare = F.col(scd2.CURRENT) & F.col("description").isNull() & F.col("unit_price").isNull() & F.col("__late").isNotNull()
+    filled = {c: F.when(bare, F.coalesce(F.col(c), F.col(f"__late.{c}"))).otherwise(F.col(c)).cast(products.schema[c].dataType) for c in given}
+    return products.join(late, "stock_code", "left").withColumns(filled).select(*products.columns)
+
+
 def country_listing(countries: DataFrame) -> DataFrame:
     return countries.select("country_key", "country_name", "country_code", "region").orderBy("region", "country_name")
 

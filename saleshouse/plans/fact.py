@@ -124,6 +124,36 @@ def fact_unknown_member(stg: DataFrame, customers: DataFrame, products: DataFram
     return _shape(rows)
 
 
+def unknown_rows(fact: DataFrame) -> DataFrame:
+    """Fact rows that name no product or no country."""
+    return fact.where((F.col("product_key") == UNKNOWN) | (F.col("country_key") == UNKNOWN))
+
+
+def repaired_rows(unknown: DataFrame, stg: DataFrame, products: DataFrame, countries: DataFrame) -> DataFrame:
+    """The rows of `unknown_rows` whose member has arrived since, with its key; keys that are still unknown stay -1.
+
+    The sales key is the staging row's id, so what the row named is read from there; only the unknown rows take part in any join.
+    """
+    named = unknown.join(stg.select(F.col("_source_row_id").alias("sales_key"), "stock_code", "country"), "sales_key")
+    found = (
+        named.join(_product_lookup(scd2.current(products)).withColumnRenamed("product_key", "__product"), "stock_code", "left")
+        .join(_country_lookup(countries).withColumnRenamed("country_key", "__country"), "country", "left")
+    )
+    changed = ((F.col("product_key") == UNKNOWN) & F.col("__product").isNotNull()) | ((F.col("country_key") == UNKNOWN) & F.col("__country").isNotNull())
+    keys = {
+        c: F.when(F.col(c) == UNKNOWN, F.coalesce(F.col(late).cast(unknown.schema[c].dataType), F.col(c))).otherwise(F.col(c))
+        for c, late in (("product_key", "__product"), ("country_key", "__country"))
+    }
+    return found.where(changed).withColumns(keys).select(*unknown.columns)
+
+
+def repair_unknown(fact: DataFrame, stg: DataFrame, products: DataFrame, countries: DataFrame) -> DataFrame:
+    """The fact after members arrived: equal to a load with the full dimensions. Publish it, or only its changed months."""
+    late = materialize(repaired_rows(unknown_rows(fact), stg, products, countries), "late-members")
+    # A small number of repaired rows is broadcast by Spark, and the fact is not shuffled.
+    return fact.join(late.select("sales_key"), "sales_key", "left_anti").unionByName(late)
+
+
 def fact_doc_variant(clean: DataFrame, customers: DataFrame, products: DataFrame, dates: DataFrame) -> DataFrame:
     """Variant over the clean-only staging rows: sales key by date and invoice, left joins only."""
     joined = (
