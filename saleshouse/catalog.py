@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from .functions import columns as C
 from .functions import fixed_values as V
-from .operators import scd2, storage
+from .operators import monthly, scd2, storage
 from .operators.ordering import with_row_number
 from .plans import analytics, deltas, dims, fact, quality, querylog, reports, staging, summaries
 from .plans.warehouse import Warehouse
@@ -203,19 +203,24 @@ def _corrected_lines(w: Warehouse) -> DataFrame:
     return lines.unionByName(lines.withColumn("invoice_no", F.concat(F.lit("N"), "invoice_no")))
 
 
-def _fact_merge(w: Warehouse) -> DataFrame:
-    target = w.fact.drop("_loaded_at")
-    merged = fact.merge(target, _corrected_lines(w).select([c for c in target.columns if c != "sales_key"]))
-    return merged.drop("sales_key")
+def _published_fact(w: Warehouse, spark: SparkSession, label: str) -> str:
+    """A copy of the fact that may be changed."""
+    path = storage.fresh_path(spark, label)
+    layout.publish_clustered(w.fact.drop("_loaded_at"), path)
+    return path
+
+
+def _fact_merge(w: Warehouse, spark: SparkSession) -> DataFrame:
+    columns = [c for c in w.fact.columns if c not in ("sales_key", "_loaded_at")]
+    return fact.merge_months(spark, _published_fact(w, spark, "merge-target"), _corrected_lines(w).select(columns)).drop("sales_key")
 
 
 def _fact_slice_reload(w: Warehouse, spark: SparkSession) -> DataFrame:
     """In a copy of the fact, the days of the slice are replaced by their larger lines."""
     first, last = SLICE
-    path = storage.fresh_path(spark, "slice-target")
-    layout.write_clustered(w.fact, path)
-    corrected = layout.read_slice(spark, path, first, last).where("quantity > 5")
-    return layout.reload_slice(spark, path, corrected, first, last).drop("_loaded_at")
+    path = _published_fact(w, spark, "slice-target")
+    corrected = monthly.read(spark, path, first // 100, last // 100).where("quantity > 5")
+    return layout.reload_slice(spark, path, corrected, first, last)
 
 
 def _slice_change(w: Warehouse) -> DataFrame:
@@ -249,7 +254,7 @@ def _kept(label: str) -> Callable[[DataFrame], DataFrame]:
 def _mv_refresh_daily(w: Warehouse, spark: SparkSession) -> DataFrame:
     first, last = SLICE
     path = storage.fresh_path(spark, "daily-target")
-    summaries.write_daily(w.daily, path)
+    summaries.publish_daily(w.daily, path)
     after = w.clustered_fact.where(~F.col("date_key").between(first, last) | (F.col("quantity") > 5))
     return summaries.refresh_daily(spark, path, after, w.dates, first, last)
 
@@ -461,7 +466,7 @@ def queries() -> dict[str, Query]:
         "fact_unknown_by_country": _over(_unknown_by_country),
         "fact_late_members": _over(_late_members),
         "fact_slice_reload": _with(lambda w, s, d: _fact_slice_reload(w, s)),
-        "fact_merge": _over(_fact_merge),
+        "fact_merge": _with(lambda w, s, d: _fact_merge(w, s)),
         "fact_doc_variant": _over(lambda w: fact.fact_doc_variant(staging.clean_only(w.raw), w.customers, w.products, w.dates)),
         "val_row_count": _over(lambda w: fact.row_count_check(w.fact, w.stg)),
         "val_row_count_by_country": _over(lambda w: fact.row_count_check(w.fact, w.stg), "by_country"),
@@ -551,7 +556,7 @@ def queries() -> dict[str, Query]:
         ),
         # layout and query log
         "layout_cluster": _with(lambda w, s, d: _layout_cluster(w, s)),
-        "layout_depth": _with(lambda w, s, d: layout.depth(layout.file_ranges(s, w.fact_path, "date_key"))),
+        "layout_depth": _with(lambda w, s, d: layout.depth(layout.file_ranges(w.clustered_fact, "date_key"))),
         "layout_point_lookup": _with(lambda w, s, d: _layout_lookup(w, s)),
         "layout_substring": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["text"])),
         "layout_substring_short": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["letters"])),

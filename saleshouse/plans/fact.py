@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import scd2
+from ..operators import monthly, scd2
 from ..operators.ordering import with_row_number
 from ..operators.storage import fixed_now, materialize
+from ..sources import layout
 
 UNKNOWN = -1
 FACT_COLUMNS = [
@@ -201,6 +202,33 @@ def merge(fact: DataFrame, source: DataFrame, keys: tuple[str, ...] = ("invoice_
     return kept.unionByName(inserted)
 
 
+def merge_months(spark: SparkSession, base: str, source: DataFrame, keys: tuple[str, ...] = ("invoice_no", "product_key")) -> DataFrame:
+    """Upsert into a published fact (`layout.publish_clustered`); only the months of the source's days are read and replaced.
+
+    One full outer join on the key gives updates and inserts, so the months are scanned once. A key's rows must lie in the month its source row names: a line
+    does not move to another month by a merge (delete and insert it). A source key that occurs twice is rejected; every fact row with a matching key is
+    updated. New rows continue the sales keys after the greatest ever given out, which the table's pointer holds, with gaps where source rows were matched.
+    """
+    source = materialize(source, "merge-source")
+    scd2.reject_duplicates(source, keys)
+    now = monthly.pointer(spark, base)
+    months = sorted(row.m for row in source.select(F.expr("date_key div 100").cast("int").alias("m")).distinct().collect())  # one row a month
+    if not months:
+        return monthly.read(spark, base, at=now).drop(monthly.MONTH)
+    held = monthly.read(spark, base, at=now)
+    columns = [c for c in held.columns if c != monthly.MONTH]
+    updated = [c for c in source.columns if c not in keys]
+    numbered = with_row_number(source, [F.col(k) for k in keys], "__n")
+    incoming = numbered.select(*keys, "__n", *(F.col(c).alias(f"__{c}") for c in updated))
+    mine = held.where(F.col(monthly.MONTH).isin(months)).drop(monthly.MONTH)
+    joined = mine.withColumn("__held", F.lit(True)).join(incoming, list(keys), "full")
+    last_key = F.lit(now.high or 0).cast("bigint")
+    values = {c: F.when(F.col("__n").isNotNull(), F.col(f"__{c}").cast(held.schema[c].dataType)).otherwise(F.col(c)) for c in updated}
+    values["sales_key"] = F.when(F.col("__held"), F.col("sales_key")).otherwise(last_key + F.col("__n"))
+    content = joined.select(*[values.get(c, F.col(c)).alias(c) for c in columns])
+    return monthly.read(spark, base, at=monthly.publish(layout.clustered(content), base, months, "sales_key", now)).drop(monthly.MONTH)
+
+
 # --- checks after the load
 
 

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import monthly as months_table
+from ..operators.monthly import MONTH
 from ..operators.storage import materialize
-from ..sources.layout import MONTH, emptied_months, with_month
+from ..sources.layout import with_month
 from . import deltas
 from .reports import dated, day_type
 
@@ -76,35 +79,27 @@ def daily_sales(fact: DataFrame, dates: DataFrame) -> DataFrame:
     )
 
 
-def write_daily(summary: DataFrame, path: str, months: tuple[int, int] | None = None) -> None:
-    """Save day rows in one folder per month; with ``months`` replace only those folders."""
-    rows = with_month(summary)
+def publish_daily(summary: DataFrame, base: str, months: Sequence[int] | None = None, based_on: months_table.Pointer | None = None) -> months_table.Pointer:
+    """Publish day rows in one folder per month; with ``months`` replace only those, beside the old ones."""
     # A month is at most 31 rows, so a task may hold whole months.
-    writer = rows.repartition(MONTH).write.mode("overwrite").partitionBy(MONTH)
-    if months:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    return months_table.publish(with_month(summary).repartition(MONTH), base, months, based_on=based_on)
 
 
-def read_daily(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH)
+def read_daily(spark: SparkSession, base: str) -> DataFrame:
+    return months_table.read(spark, base).drop(MONTH)
 
 
-def refresh_daily(spark: SparkSession, path: str, clustered_fact: DataFrame, dates: DataFrame, first: int, last: int) -> DataFrame:
-    """Recompute the months of the changed days ``first``..``last`` and replace their folders.
+def refresh_daily(spark: SparkSession, base: str, clustered_fact: DataFrame, dates: DataFrame, first: int, last: int) -> DataFrame:
+    """Recompute the months of the changed days ``first``..``last`` and replace them at once.
 
     ``clustered_fact`` still has its month column, so only those months are read. The days follow from
-    the fact alone, so a refresh that died is done again.
+    the fact alone, so a refresh that died is done again; readers see the old months until then.
     """
-    months = (first // 100, last // 100)
-    changed = clustered_fact.where(F.col(MONTH).between(*months)).drop(MONTH)
-    days = materialize(daily_sales(changed, dates), "daily")
-    emptied = emptied_months(spark, path, with_month(days), *months)
-    write_daily(days, path, months)
-    # A dynamic overwrite leaves a month alone that has no days left; write it empty.
-    for month in emptied:
-        days.where(F.lit(False)).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
-    return read_daily(spark, path)
+    now = months_table.pointer(spark, base)
+    months = range(first // 100, last // 100 + 1)
+    changed = clustered_fact.where(F.col(MONTH).between(months[0], months[-1])).drop(MONTH)
+    publish_daily(daily_sales(changed, dates), base, months, now)
+    return read_daily(spark, base)
 
 
 def refresh_keyed(summary: DataFrame, key: str, touched: DataFrame, recompute) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import storage
+from ..operators import monthly, storage
 from ..sources import layout
 from . import deltas, dims, fact, staging, summaries
 
@@ -56,14 +56,13 @@ class Warehouse:
     @cached_property
     def fact_path(self) -> str:
         path = f"{self.base}/fact_sales"
-        rows = fact.fact_sales(self.stg, self.customers, self.products, self.countries, self.customer_mode)
-        layout.write_clustered(rows, path)
+        layout.publish_clustered(fact.fact_sales(self.stg, self.customers, self.products, self.countries, self.customer_mode), path)
         return path
 
     @cached_property
     def clustered_fact(self) -> DataFrame:
         """The fact with its month column, for filters that should skip folders."""
-        return self.spark.read.parquet(self.fact_path)
+        return monthly.read(self.spark, self.fact_path)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -92,7 +91,7 @@ class Warehouse:
     @cached_property
     def daily_path(self) -> str:
         path = f"{self.base}/mv_daily_sales"
-        summaries.write_daily(summaries.daily_sales(self.fact, self.dates), path)
+        summaries.publish_daily(summaries.daily_sales(self.fact, self.dates), path)
         return path
 
     @cached_property

@@ -6,30 +6,32 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import monthly
+from ..operators.monthly import MONTH
 from ..operators.ordering import with_running_total
-from ..operators.storage import delete, finished
-
-MONTH = "sales_month"
 
 
 def with_month(fact: DataFrame) -> DataFrame:
     return fact.withColumn(MONTH, F.expr("date_key div 100").cast("int"))
 
 
-def write_clustered(fact: DataFrame, path: str, keys: tuple[str, ...] = ("date_key", "country_key"), spread: str = "sales_key") -> None:
-    """Order the files by ``keys``, in one folder per month, so range filters skip folders and files.
+def clustered(fact: DataFrame, keys: tuple[str, ...] = ("date_key", "country_key"), spread: str = "sales_key") -> DataFrame:
+    """Rows with their month, ordered by ``keys`` over all tasks, so that range filters skip folders and files.
 
     ``spread`` ends the range key: a day or country with much of the data still fills many files,
     and each task writes one month, or a few small ones.
     """
-    (
-        with_month(fact)
-        .repartitionByRange(*keys, spread)
-        .sortWithinPartitions(*keys, spread)
-        .write.mode("overwrite")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+    return with_month(fact).repartitionByRange(*keys, spread).sortWithinPartitions(*keys, spread)
+
+
+def write_clustered(fact: DataFrame, path: str, keys: tuple[str, ...] = ("date_key", "country_key"), spread: str = "sales_key") -> None:
+    """Write ordered files to a new path, in one folder per month. For a table that is changed later, see `publish_clustered`."""
+    clustered(fact, keys, spread).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+
+
+def publish_clustered(fact: DataFrame, base: str) -> monthly.Pointer:
+    """Make ``fact`` the content of the table at ``base``, whose months can be replaced while it is read."""
+    return monthly.publish(clustered(fact), base, surrogate="sales_key")
 
 
 def month_filter(first: int, last: int) -> Column:
@@ -41,58 +43,25 @@ def read_slice(spark: SparkSession, path: str, first: int, last: int) -> DataFra
     return spark.read.parquet(path).where(month_filter(first, last)).drop(MONTH)
 
 
-def _pending(path: str) -> str:
-    return f"{path.rstrip('/')}__pending"
-
+def reload_slice(spark: SparkSession, base: str, rows: DataFrame, first: int, last: int) -> DataFrame:
+    """Replace the days ``first``..``last`` of a published fact; run twice, the result is the same.
 
-def reload_slice(spark: SparkSession, path: str, rows: DataFrame, first: int, last: int) -> DataFrame:
-    """Replace the days ``first``..``last`` of a clustered fact; run twice, the result is the same.
-
-    Only the months touched are rewritten. Their new content is stored beside the table first and deleted
-    when the months are in place. A job that dies before that leaves it there, and the next reload, or
-    `finish_reloads`, puts it in place: no row outside the slice is lost.
+    The months touched are read once and written beside the old ones; one pointer then switches readers. A reader that began before ends with the old rows; a job
+    that dies leaves the old table, or, after the pointer, the new one.
     """
-    finish_reloads(spark, path)
-    stored = spark.read.parquet(path)
-    months = F.col(MONTH).between(first // 100, last // 100)
+    now = monthly.pointer(spark, base)
+    months = range(first // 100, last // 100 + 1)
+    stored = monthly.read(spark, base, months[0], months[-1], now)
     in_range = F.col("date_key").between(first, last)
-    content = stored.where(months & ~in_range).unionByName(with_month(rows.where(in_range)).select(*stored.columns))
-    content.write.mode("overwrite").parquet(f"{_pending(path)}/{first}-{last}")
-    finish_reloads(spark, path)
-    return spark.read.parquet(path).drop(MONTH)
-
-
-def emptied_months(spark: SparkSession, path: str, rows: DataFrame, first: int, last: int) -> list[int]:
-    """Months ``first``..``last`` that hold rows at ``path`` and have none in ``rows``."""
-    stored = spark.read.schema(rows.schema).parquet(path).where(F.col(MONTH).between(first, last)).select(MONTH).distinct()
-    return [row[MONTH] for row in stored.join(rows.select(MONTH).distinct(), MONTH, "left_anti").collect()]  # one row a month
-
-
-def finish_reloads(spark: SparkSession, path: str) -> None:
-    """Put the months of stored slices in place, those of reloads that died included. Doing so again changes nothing."""
-    for name in finished(spark, _pending(path), "*"):
-        first, last = (int(day) for day in name.split("-"))
-        replacement = spark.read.parquet(f"{_pending(path)}/{name}")
-        emptied = emptied_months(spark, path, replacement, first // 100, last // 100)
-        (
-            replacement.repartitionByRange("date_key", "country_key", "sales_key")
-            .sortWithinPartitions("date_key", "country_key", "sales_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(MONTH)
-            .parquet(path)
-        )
-        # A dynamic overwrite leaves a month alone that has no rows left; write it empty.
-        for month in emptied:
-            replacement.where(F.lit(False)).drop(MONTH).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
-        delete(spark, f"{_pending(path)}/{name}")
-
-
-def file_ranges(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Smallest and largest key of each file."""
+    content = stored.where(~in_range).drop(MONTH).unionByName(rows.where(in_range).select(*[c for c in stored.columns if c != MONTH]))
+    new = monthly.publish(clustered(content), base, months, "sales_key", now)
+    return monthly.read(spark, base, at=new).drop(MONTH)
+
+
+def file_ranges(table: DataFrame, key: str) -> DataFrame:
+    """Smallest and largest key of each file of a table that is read from files."""
     return (
-        spark.read.parquet(path)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
+        table.groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(F.min(key).alias("low"), F.max(key).alias("high"))
         .where("low is not null")
     )

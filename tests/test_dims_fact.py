@@ -1,4 +1,3 @@
-import shutil
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -181,30 +180,13 @@ def test_slice_reload(spark, tmp_path):
     days = ["2010-01-05", "2010-01-20", "2010-02-05", "2010-03-05"]
     shop = Shop(spark, [line(invoice=str(i), day=f"{d} 00:00:00") for i, d in enumerate(days)])
     path = str(tmp_path / "fact")
-    layout.write_clustered(shop.fact, path)
+    layout.publish_clustered(shop.fact, path)
     new = shop.fact.where("date_key = 20100120").withColumn("quantity", F.lit(4))
     for _ in range(2):
         out = layout.reload_slice(spark, path, new, 20100110, 20100228)
         assert sorted(tuples(out, "date_key", "quantity")) == [(20100105, 1), (20100120, 4), (20100305, 1)]
 
 
-def test_slice_reload_that_died_is_finished(spark, tmp_path, monkeypatch):
-    days = ["2010-01-05", "2010-01-20", "2010-02-05", "2010-03-05"]
-    shop = Shop(spark, [line(invoice=str(i), day=f"{d} 00:00:00") for i, d in enumerate(days)])
-    path = str(tmp_path / "fact")
-    layout.write_clustered(shop.fact, path)
-    new = shop.fact.where("date_key = 20100120").withColumn("quantity", F.lit(4))
-    with monkeypatch.context() as patch:
-        patch.setattr(layout, "finish_reloads", lambda *_: None)  # dies once the slice is stored
-        layout.reload_slice(spark, path, new, 20100110, 20100228)
-    shutil.rmtree(tmp_path / "fact" / "sales_month=201001")  # and half way through its months
-    layout.finish_reloads(spark, path)
-    out = spark.read.parquet(path)
-    assert sorted(tuples(out, "date_key", "quantity")) == [(20100105, 1), (20100120, 4), (20100305, 1)]
-    layout.finish_reloads(spark, path)
-    assert spark.read.parquet(path).count() == 3 and not list((tmp_path / "fact__pending").iterdir())
-
-
 def test_clustered_read_prunes_months(spark, tmp_path):
     shop = Shop(spark, [line(invoice=str(m), day=f"2010-0{m}-05 00:00:00") for m in range(1, 7)])
     path = str(tmp_path / "fact")
