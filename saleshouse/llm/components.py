@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .tables import Scratch
 
+MOST_KEYS = 512  # of an id that travel with each of its rows in the last step; with more, its pairs are met at each common key
+
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, label) of every end of ``edges`` (a, b: bigint): the smallest id that links reach.
@@ -61,8 +63,8 @@ def linked(
 
     ``postings`` holds (key, id, *carried); ``fits`` is a necessary condition on two rows' carried columns, given
     the prefixes of their names; ``verify`` takes candidates (a, b) and returns those that are links.
-    ``details`` (id, more columns) and ``close``, another necessary condition that also sees them, keep pairs of
-    the last step from becoming rows. Ids without a link are left out.
+    ``details`` (id, more columns) and ``close``, another condition that also sees them, keep pairs of the last step from
+    becoming rows; it need hold only at the least key of both. Ids without a link are left out.
 
     Emitting all pairs of a key is quadratic where thousands of near copies share it. So the ids of a key are
     first tested against one centre only (of the centres an id meets, the one it shares most keys with), twice
@@ -104,17 +106,20 @@ def linked(
     # What is left: rows of a key in different components. Not paired again: pairs already tested.
     rows = labelled(open_rows.drop("__c", "label"))
     bounds = rows.groupBy("key").agg(F.min("label").alias("__lo"), F.max("label").alias("__hi")).where("__lo <> __hi")
-    rows = rows.join(bounds.select("key"), "key", "left_semi")
-    if details is not None:
-        rows = rows.join(details, "id")
-        carried = [*carried, *[c for c in details.columns if c != "id"]]
+    rows = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "left")
+    # All keys that ids of different components share are among these, so a pair is met at the least of them only.
+    held = rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("__keys"))
+    held = held.withColumn("__keys", F.when(F.size("__keys") <= MOST_KEYS, F.col("__keys")))
+    rows = rows.join(held if details is None else held.join(details, "id"), "id")
+    carried = [*carried, "__keys", *([c for c in details.columns if c != "id"] if details is not None else [])]
     rows = scratch.keep(rows, "rest")
     scratch.drop(open_rows)
-    condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True))
-    left = rows.select("key", *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
-    right = rows.select("key", *[F.col(c).alias(f"b_{c}") for c in ["id", *carried]])
+    once = F.coalesce(F.array_min(F.array_intersect("a___keys", "b___keys")) == F.col("a_key"), F.lit(True))
+    condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True)) & once
+    left = rows.select(F.col("key").alias("a_key"), *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
+    right = rows.select(F.col("key").alias("b_key"), *[F.col(c).alias(f"b_{c}") for c in ["id", *carried]])
     pairs = (
-        left.join(right, (left["key"] == right["key"]) & (F.col("a_label") < F.col("b_label")) & condition)
+        left.join(right, (F.col("a_key") == F.col("b_key")) & (F.col("a_label") < F.col("b_label")) & condition)
         .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         .distinct()
     )

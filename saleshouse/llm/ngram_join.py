@@ -12,8 +12,8 @@ chunks: an n-gram with a share of ``1 / COMMON`` of all has that share in some c
 ``COMMON`` of them, which bounds the broadcast list.
 
 Defined results: null text, empty text and text without words have no n-grams and no links; a text of fewer
-words than n has one n-gram, its whole sequence. Rows with a null id are passed over; a repeated id counts
-once, with the union of its rows' links. An empty table gives an empty result. Other columns are not read.
+words than n has one n-gram, its whole sequence. Rows with a null id have no links and a null component; a repeated id
+counts once, with the union of its rows' links. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -194,7 +194,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of every row of ``docs``."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
+    docs = docs.select("doc_id", "text")
     order = spark.sparkContext.broadcast(GlobalOrder(common_ngrams(docs, n, scratch)))
 
     def index(batches: Iterator[pa.RecordBatch]):
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
         docs.mapInArrow(index, "doc_id bigint, n_shingles bigint, class bigint, map array<bigint>, lead binary"), "sets"
     )
     # Equal sets are one class; classes are indexed, met and verified, and doc_ids are tied to them at the end.
-    some = sets.where("n_shingles > 0")
+    some = sets.where("n_shingles > 0 and doc_id is not null")
     reps = some.groupBy("class", "doc_id").agg(F.lit(1)).groupBy("class").agg(F.min("doc_id").alias("rep"))
     reps = scratch.keep(reps, "classes")
     own = reps.withColumnsRenamed({"class": "__class", "rep": "__rep"})
@@ -230,21 +230,29 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
             count = np.array([len(x) // 8 for x in batch["lead"].to_pylist()], np.int64)
             for first in range(0, len(count), 512):
                 some = slice(first, first + 512)
-                flat = np.frombuffer(b"".join(batch["lead"].slice(first, 512).to_pylist()), np.int64)
+                flat = np.frombuffer(b"".join(batch["lead"].slice(first, 512).to_pylist()), np.uint64)
+                flat = (flat ^ _HIGH).view(np.int64)  # as signed numbers in the global order
                 rows = [np.repeat(batch[c].to_numpy()[some], count[some]) for c in ("class", "n_shingles")]
-                yield pa.RecordBatch.from_arrays([pa.array(flat), *map(pa.array, rows)], ["key", "id", "n"])
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])
+                yield pa.RecordBatch.from_arrays([pa.array(flat), *map(pa.array, rows), pa.array(place.astype(np.int32))], ["key", "id", "n", "place"])
 
-    postings = chosen.select("class", "n_shingles", "lead").mapInArrow(keys, "key bigint, id bigint, n bigint")
+    postings = chosen.select("class", "n_shingles", "lead").mapInArrow(keys, "key bigint, id bigint, n bigint, place int")
 
     def fits(one: str, two: str):
         a, b = F.col(f"{one}n"), F.col(f"{two}n")
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
+    def close(one: str, two: str):
+        """The bitmaps allow it; and what stands before the first key of both is in one set only, so there is not more of it than may differ."""
+        both = F.col(f"{one}n") + F.col(f"{two}n")
+        may_differ = both - 2 * F.floor((percent * both + (99 + percent)) / F.lit(100 + percent))
+        return (F.col(f"{one}place") + F.col(f"{two}place") <= may_differ) & maps_allow(one, two, percent)
+
     def verify(pairs: DataFrame) -> DataFrame:
         return verified(pairs, docs, chosen, reps, n, percent, order, scratch)
 
     maps = chosen.select(F.col("class").alias("id"), "map")
-    labels = linked(postings, ["n"], fits, verify, scratch, maps, lambda one, two: maps_allow(one, two, percent))
+    labels = linked(postings, ["n", "place"], fits, verify, scratch, maps, close)
     ties = some.select("doc_id", "class").distinct().join(reps, "class").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     for side in ("id", "label"):
         labels = labels.join(reps.toDF(side, f"{side}_rep"), side)
@@ -279,7 +287,7 @@ def verified(pairs, docs, chosen, reps, n, percent, order, scratch) -> DataFrame
     texts = docs.join(holders, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets_of, "id bigint, keys binary")
     full = scratch.keep(texts.join(ends.withColumnRenamed("class", "id"), "id", "left_semi").dropDuplicates(["id"]), "full")
     # A probe with many partners is spread over blocks of about _BLOCK of them, so no trie is unbounded.
-    blocks = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks"))
+    blocks = scratch.keep(pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("blocks")), "blocks")
     members = pairs.join(blocks, "b").select("b", F.expr("pmod(xxhash64(a), blocks)").cast("int").alias("block"), F.col("a").alias("id"))
     probes = blocks.select("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("b").alias("id"))
     groups = members.unionAll(probes).join(full, "id")
@@ -295,7 +303,7 @@ def verified(pairs, docs, chosen, reps, n, percent, order, scratch) -> DataFrame
         return pa.table({"a": pa.array(hits, pa.int64()), "b": pa.array([centre] * len(hits), pa.int64())})
 
     links = scratch.keep(groups.groupBy("b", "block").applyInArrow(traverse, "a bigint, b bigint"), "links")
-    scratch.drop(pairs, full)
+    scratch.drop(pairs, full, blocks)
     return links
 
 
