@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .tables import Scratch
 
+TESTS = 8
+ROUNDS = 3
 MOST_KEYS = 512  # of an id that travel with each of its rows in the last step; with more, its pairs are met at each common key
 
 
@@ -67,53 +69,64 @@ def linked(
     becoming rows; it need hold only at the least key of both. Ids without a link are left out.
 
     Emitting all pairs of a key is quadratic where thousands of near copies share it. So the ids of a key are
-    first tested against one centre only (of the centres an id meets, the one it shares most keys with), twice
-    with different centres. After that only ids of one key that are in different components so far are paired:
-    every link not yet implied is still tested, so no component is missed.
+    first tested against one centre only (of the centres an id meets, the one it shares most keys with). Then, in rounds, each key takes
+    another centre by hash, and an id is tested against up to ``TESTS`` centres of other components, until a round finds few links or ``ROUNDS``
+    are done: at most ``TESTS`` pairs an id and round. After that only ids of one key that are in different components so far are paired, each pair at
+    one key: every link not yet implied is still tested, so no component is missed.
     """
     extra = [F.col(c) for c in carried]
 
-    def centred(rows: DataFrame, pick, group: str) -> DataFrame:
-        """Each row with the centre of its key, for keys whose rows differ in ``group``."""
+    def centred(rows: DataFrame, group: str, order: Column) -> DataFrame:
+        """Each row with the centre of its key, the least by ``order``, for keys whose rows differ in ``group``."""
         least = rows.groupBy("key").agg(
-            F.min(group).alias("__lo"), F.max(group).alias("__hi"), pick(F.struct("id", *extra)).alias("__c")
+            F.min(group).alias("__lo"), F.max(group).alias("__hi"), F.min_by(F.struct("id", *extra), order).alias("__c")
         )
         return rows.join(least.where("__lo <> __hi"), "key").drop("__lo", "__hi")
 
-    def best(rows: DataFrame, differs: Column) -> DataFrame:
+    def best(rows: DataFrame, differs: Column, most: int) -> DataFrame:
         pair = rows.select("*", F.col("__c.id").alias("centre"), *[F.col(f"__c.{c}").alias(f"centre_{c}") for c in carried])
         shared = pair.where(differs & fits("", "centre_")).groupBy("id", "centre").agg(F.count(F.lit(1)).alias("n"))
-        one = shared.groupBy("id").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("b"))
-        return one.select(F.col("id").alias("a"), "b")
-
-    met = scratch.keep(centred(postings, F.min, "id"), "met")
-    tested = scratch.keep(best(met, F.col("id") != F.col("__c.id")), "pairs")
+        if most == 1:
+            one = shared.groupBy("id").agg(F.max_by("centre", F.struct("n", -F.col("centre"))).alias("b"))
+            return one.select(F.col("id").alias("a"), "b")
+        # An id meets no more centres than it has keys.
+        some = shared.groupBy("id").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "centre")), False), 1, most).alias("some"))
+        return some.select(F.col("id").alias("a"), F.explode("some.centre").alias("b"))
+
+    met = scratch.keep(centred(postings, "id", F.col("id")), "met")
+    tested = scratch.keep(best(met, F.col("id") != F.col("__c.id"), 1), "pairs")
     links = scratch.keep(verify(tested), "links")
     labels = components(links, scratch)
 
     def labelled(rows: DataFrame) -> DataFrame:
         return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
+    rest, plain = met.drop("__c"), carried
     carried = [*carried, "label"]
     extra.append(F.col("label"))
-    open_rows = scratch.keep(centred(labelled(met.drop("__c")), F.max, "label"), "open")
-    scratch.drop(met)
-    second = scratch.keep(best(open_rows, F.col("label") != F.col("__c.label")), "pairs")
-    more = scratch.keep(verify(second), "links")
-    links = links.unionAll(more)
-    labels = components(links, scratch)
+    for turn in range(ROUNDS):
+        open_rows = scratch.keep(centred(labelled(rest.select("key", "id", *plain)), "label", F.xxhash64("id", "key", F.lit(turn))), "open")
+        scratch.drop(met, rest)
+        pairs = scratch.keep(best(open_rows, F.col("label") != F.col("__c.label"), TESTS), "pairs")
+        more = scratch.keep(verify(pairs), "links")
+        tested, links = tested.unionAll(pairs), links.unionAll(more)
+        labels = components(links, scratch)
+        rest = open_rows
+        if more.count() * 20 < pairs.count():
+            break
 
     # What is left: rows of a key in different components. Not paired again: pairs already tested.
-    rows = labelled(open_rows.drop("__c", "label"))
+    carried = plain + ["label"]
+    rows = labelled(rest.select("key", "id", *plain))
     bounds = rows.groupBy("key").agg(F.min("label").alias("__lo"), F.max("label").alias("__hi")).where("__lo <> __hi")
-    rows = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "left")
+    rows = differing = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "left")
     # All keys that ids of different components share are among these, so a pair is met at the least of them only.
     held = rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("__keys"))
     held = held.withColumn("__keys", F.when(F.size("__keys") <= MOST_KEYS, F.col("__keys")))
     rows = rows.join(held if details is None else held.join(details, "id"), "id")
     carried = [*carried, "__keys", *([c for c in details.columns if c != "id"] if details is not None else [])]
     rows = scratch.keep(rows, "rest")
-    scratch.drop(open_rows)
+    scratch.drop(rest, differing)
     once = F.coalesce(F.array_min(F.array_intersect("a___keys", "b___keys")) == F.col("a_key"), F.lit(True))
     condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True)) & once
     left = rows.select(F.col("key").alias("a_key"), *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
@@ -123,10 +136,9 @@ def linked(
         .select(F.col("a_id").alias("a"), F.col("b_id").alias("b"))
         .distinct()
     )
-    done = tested.unionAll(second)
-    done = done.unionAll(done.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    done = tested.unionAll(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
     pairs = scratch.keep(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
     last = scratch.keep(verify(pairs), "links")
     result = components(links.unionAll(last), scratch)
-    scratch.drop(rows, tested, second, pairs)
+    scratch.drop(rows, pairs)
     return result
