@@ -96,3 +96,9 @@ def test_bitmaps_leave_no_similar_pair_out(spark):
     df = spark.createDataFrame(rows, "i int, a_n bigint, b_n bigint, a_map array<bigint>, b_map array<bigint>")
     got = {r.i: r.ok for r in df.select("i", g.maps_allow("a_", "b_", 80).alias("ok")).collect()}
     assert all(got[i] for i, t in enumerate(truth) if t) and sum(got.values()) < 400
+
+
+def test_rows_without_an_id_come_out(spark):
+    rows = [(1, "a b c d e f"), (None, "a b c d e f"), (None, None), (2, "a b c d e f")]
+    got = sorted((tuple(r) for r in g.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()), key=str)
+    assert got == [(1, 2, 1), (2, 2, 1), (None, 0, None), (None, 2, None)]
