@@ -60,13 +60,15 @@ def linked(
     scratch: Scratch,
     details: DataFrame | None = None,
     close: Callable[[str, str], Column] | None = None,
+    once: bool = True,
 ) -> DataFrame:
     """(id, label) for the components of the graph that links ids with a common key if ``verify`` confirms them.
 
     ``postings`` holds (key, id, *carried); ``fits`` is a necessary condition on two rows' carried columns, given
     the prefixes of their names; ``verify`` takes candidates (a, b) and returns those that are links.
     ``details`` (id, more columns) and ``close``, another condition that also sees them, keep pairs of the last step from
-    becoming rows; it need hold only at the least key of both. Ids without a link are left out.
+    becoming rows; it need hold only at the least key of both. With ``once`` off a pair is met at every common key, for ``fits``
+    that may hold at some of them only. Ids without a link are left out.
 
     Emitting all pairs of a key is quadratic where thousands of near copies share it. So the ids of a key are
     first tested against one centre only (of the centres an id meets, the one it shares most keys with). Then, in rounds, each key takes
@@ -120,15 +122,19 @@ def linked(
     rows = labelled(rest.select("key", "id", *plain))
     bounds = rows.groupBy("key").agg(F.min("label").alias("__lo"), F.max("label").alias("__hi")).where("__lo <> __hi")
     rows = differing = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "left")
-    # All keys that ids of different components share are among these, so a pair is met at the least of them only.
-    held = rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("__keys"))
-    held = held.withColumn("__keys", F.when(F.size("__keys") <= MOST_KEYS, F.col("__keys")))
-    rows = rows.join(held if details is None else held.join(details, "id"), "id")
-    carried = [*carried, "__keys", *([c for c in details.columns if c != "id"] if details is not None else [])]
+    one_key = F.lit(True)
+    if once:
+        # All keys that ids of different components share are among these, so a pair is met at the least of them only.
+        held = rows.groupBy("id").agg(F.sort_array(F.collect_set("key")).alias("__keys"))
+        held = held.withColumn("__keys", F.when(F.size("__keys") <= MOST_KEYS, F.col("__keys")))
+        details = held if details is None else held.join(details, "id")
+        one_key = F.coalesce(F.array_min(F.array_intersect("a___keys", "b___keys")) == F.col("a_key"), F.lit(True))
+    if details is not None:
+        rows = rows.join(details, "id")
+        carried = [*carried, *[c for c in details.columns if c != "id"]]
     rows = scratch.keep(rows, "rest")
     scratch.drop(rest, differing)
-    once = F.coalesce(F.array_min(F.array_intersect("a___keys", "b___keys")) == F.col("a_key"), F.lit(True))
-    condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True)) & once
+    condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True)) & one_key
     left = rows.select(F.col("key").alias("a_key"), *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
     right = rows.select(F.col("key").alias("b_key"), *[F.col(c).alias(f"b_{c}") for c in ["id", *carried]])
     pairs = (
