@@ -107,19 +107,17 @@ def linked(
     carried = [*carried, "label"]
     extra.append(F.col("label"))
     for turn in range(ROUNDS):
-        open_rows = scratch.keep(centred(labelled(rest.select("key", "id", *plain)), "label", F.xxhash64("id", "key", F.lit(turn))), "open")
-        scratch.drop(met, rest)
+        open_rows = centred(labelled(rest), "label", F.xxhash64("id", "key", F.lit(turn)))
         pairs = scratch.keep(best(open_rows, F.col("label") != F.col("__c.label"), TESTS), "pairs")
         more = scratch.keep(verify(pairs), "links")
         tested, links = tested.unionAll(pairs), links.unionAll(more)
         labels = components(links, scratch)
-        rest = open_rows
         if more.count() * 20 < pairs.count():
             break
 
     # What is left: rows of a key in different components. Not paired again: pairs already tested.
     carried = plain + ["label"]
-    rows = labelled(rest.select("key", "id", *plain))
+    rows = labelled(rest)
     bounds = rows.groupBy("key").agg(F.min("label").alias("__lo"), F.max("label").alias("__hi")).where("__lo <> __hi")
     rows = differing = scratch.keep(rows.join(bounds.select("key"), "key", "left_semi"), "left")
     one_key = F.lit(True)
@@ -133,7 +131,7 @@ def linked(
         rows = rows.join(details, "id")
         carried = [*carried, *[c for c in details.columns if c != "id"]]
     rows = scratch.keep(rows, "rest")
-    scratch.drop(rest, differing)
+    scratch.drop(met, differing)
     condition = fits("a_", "b_") & (close("a_", "b_") if close else F.lit(True)) & one_key
     left = rows.select(F.col("key").alias("a_key"), *[F.col(c).alias(f"a_{c}") for c in ["id", *carried]])
     right = rows.select(F.col("key").alias("b_key"), *[F.col(c).alias(f"b_{c}") for c in ["id", *carried]])

@@ -299,7 +299,14 @@ def test_keys_of_long_lines_meet_as_measured():
             unequal += 1
             got = ld.line_rows(pa.chunked_array([pa.array([a, b])]), hasher)
             bits = sum(int(h[0] ^ h[1]).bit_count() for h in got[3:5])
-            met += bool(set(got[6][0].as_py()) & set(got[6][1].as_py())) and bits <= ld.RADIUS
+            sizes = got[5].tolist()
+            own = [dict(zip(got[6][k].as_py(), got[7][k].as_py())) for k in (0, 1)]
+            allowed = (1 - ld.SIMILAR) * max(sizes) + 1e-9
+            placed = [
+                abs(own[0][k] - own[1][k]) + abs(sizes[0] - own[0][k] - sizes[1] + own[1][k]) <= allowed
+                for k in set(own[0]) & set(own[1]) if min(own[0][k], own[1][k]) >= 0
+            ]
+            met += any(placed) and bits <= (ld.RADIUS if max(sizes) < ld.WIDE else ld.RADIUS_WIDE)
         assert unequal >= 290 and met >= least * unequal, (words_, edits, met, unequal)
 
 
