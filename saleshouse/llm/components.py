@@ -80,9 +80,10 @@ def linked(
 
     def centred(rows: DataFrame, group: str, order: Column) -> DataFrame:
         """Each row with the centre of its key, the least by ``order``, for keys whose rows differ in ``group``."""
-        least = rows.groupBy("key").agg(
-            F.min(group).alias("__lo"), F.max(group).alias("__hi"), F.min_by(F.struct("id", *extra), order).alias("__c")
-        )
+        # With the centre's own order first in the struct, its least is the centre.
+        centre = F.min(F.struct(order.alias("__order"), "id", *extra))
+        least = rows.groupBy("key").agg(F.min(group).alias("__lo"), F.max(group).alias("__hi"), centre.alias("__c"))
+        least = least.withColumn("__c", F.col("__c").dropFields("__order"))
         return rows.join(least.where("__lo <> __hi"), "key").drop("__lo", "__hi")
 
     def best(rows: DataFrame, differs: Column, most: int) -> DataFrame:

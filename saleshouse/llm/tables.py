@@ -15,6 +15,7 @@ from ..operators.storage import _filesystem, fresh_path
 CHUNK_BYTES = 2 << 20  # of text that a task turns into arrays at once; these take about 60 times as much
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 
 
@@ -30,7 +31,15 @@ class Scratch:
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         path = fresh_path(self.spark, label)
-        df.write.parquet(path)
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")  # what is read from here on is the table, so its shuffle files may go at once
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = (table, path)
         return table
