@@ -20,6 +20,7 @@ from functools import lru_cache
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,27 +77,33 @@ def padded_words(text: str | None) -> tuple[str, int]:
     return (b" " + b" ".join(words) + b" ").decode("utf-8", "surrogatepass") if words else " ", len(words)
 
 
+def spaces_before(words: str, places: list[int]) -> list[int]:
+    """How many spaces stand before each place. The spaces are looked for once, so many places cost no more passes."""
+    if not places:
+        return []
+    spaces = np.flatnonzero(np.frombuffer(words.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+    return np.searchsorted(spaces, places).tolist()
+
+
 def phrase_places(words: str, phrases=PHRASES) -> list[tuple[int, str]]:
     """(word, label) of every place where a phrase's words stand."""
-    found = []
+    places, labels = [], []
     for phrase, label in phrases:
         at = words.find(f" {phrase} ")
         while at >= 0:
-            found.append((words.count(" ", 0, at), label))
+            places.append(at)
+            labels.append(label)
             at = words.find(f" {phrase} ", at + 1)
-    return found
+    return list(zip(spaces_before(words, places), labels))
 
 
 def gated(words: str, own: tuple[Rule, ...]) -> list[Hit]:
     """Detections of the rules whose keyword the words hold."""
     automaton, patterns = _compiled(own)
     numbers = {k for _, some in automaton.iter(words) for k in some} if len(automaton) else ()
-    found = []
-    for k in sorted(numbers):
-        for m in patterns[k].finditer(words):
-            first = words.count(" ", 0, m.start()) - 1
-            found.append(Hit(own[k].label, first, first + m[0].count(" ") + 1, own[k].priority, own[k].confidence))
-    return found
+    found = [(own[k], m.start(), m[0].count(" ") + 1) for k in sorted(numbers) for m in patterns[k].finditer(words)]
+    first = spaces_before(words, [at for _, at, _ in found])
+    return [Hit(r.label, k - 1, k - 1 + n, r.priority, r.confidence) for (r, _, n), k in zip(found, first)]
 
 
 def unsuppressed(hits: list[Hit]) -> list[Hit]:
