@@ -1,7 +1,8 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
-For each language a bounded sample of training texts (the ``DICTIONARY_ROWS`` with the least hash of their id, cut into
-pieces) becomes a raw-content dictionary of at most ``DICTIONARY_BYTES``. All of a text is compressed with each
+For each language a bounded sample of training texts (the ``DICTIONARY_ROWS`` with the least hash of their id) becomes a raw-content
+dictionary of at most ``DICTIONARY_BYTES``: short texts whole, of longer ones equally many bytes, in parts from all over the text. Only the
+``LANGUAGES`` languages with the most rows are learnt. All of a text is compressed with each
 dictionary, in independent pieces of ``PIECE_BYTES``, so that the dictionary helps as much at the end of a long text as at its start and the
 margin means the same at every length. The sums of the pieces' sizes are compared. A text is rejected where the best and the second best size are closer than ``MARGIN`` of the best, and where
 it has no letter.
@@ -26,8 +27,10 @@ from pyspark.sql import functions as F
 
 from .tables import hash_share, in_fold, read
 
+LANGUAGES = 256
 DICTIONARY_ROWS = 400
 DICTIONARY_BYTES = 112_640
+EXCERPT_BYTES = 256
 LEVEL = 3
 MARGIN = 0.002
 PIECE_BYTES = 32_768
@@ -41,27 +44,53 @@ def plain(text: str) -> bytes:
     return b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(_SIGNS).split())
 
 
+def excerpt(content: bytes, size: int) -> bytes:
+    """All of a short content; else ``size`` bytes of it, in parts of about ``EXCERPT_BYTES`` from its beginning to its end."""
+    if len(content) <= size:
+        return content
+    count = -(-size // EXCERPT_BYTES)
+    ends = [size * k // count for k in range(count + 1)]
+    # Of what is left out, equal shares stand before, between and after the parts.
+    skipped = [(len(content) - size) * (k + 1) // (count + 1) for k in range(count)]
+    return b"".join(content[a + s : b + s] for a, b, s in zip(ends[:-1], ends[1:], skipped))
+
+
+def level(sizes: list[int], room: int) -> int:
+    """The most bytes of a text that may be taken so that all texts together fit the room."""
+    left = room
+    for k, size in enumerate(sorted(sizes)):
+        share = left // (len(sizes) - k)
+        if size > share:
+            return share
+        left -= size
+    return max(sizes, default=0)
+
+
 def dictionaries(docs: DataFrame, allowed: Column) -> dict[str, bytes]:
-    """A dictionary for each language; the languages and their dictionaries are small enough for the driver."""
+    """A dictionary for each of the ``LANGUAGES`` languages with the most rows; only these dictionaries come to the driver."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & allowed).select("lang", "doc_id", "text")
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
     few = F.lit(False)
     for row in counts:  # one condition for each language: a handful of rows of each go on
         few = few | ((F.col("lang") == row["lang"]) & hash_share("doc_id", DICTIONARY_ROWS, row["n"]))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    some = rows.where(few).withColumn("k", F.row_number().over(first)).where(F.col("k") <= DICTIONARY_ROWS)
-    piece = F.substring("text", 1, 4 * DICTIONARY_BYTES // DICTIONARY_ROWS).alias("piece")
-    found: dict[str, list[bytes]] = {}
-    for row in some.select("lang", "k", piece).orderBy("lang", "k").collect():
-        found.setdefault(row["lang"], []).append(plain(row["piece"]))
-    share = DICTIONARY_BYTES // DICTIONARY_ROWS
-    joined = {}
-    for lang, pieces in found.items():
-        size = max(share, DICTIONARY_BYTES // len(pieces))
-        content = b" ".join(x[:size] for x in pieces)[:DICTIONARY_BYTES]
-        if len(content) >= 8:  # the least that zstandard takes
-            joined[lang] = content
-    return joined
+
+    def excerpts(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            content = [excerpt(plain(t), DICTIONARY_BYTES) for t in batch["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["doc_id"], pa.array(content, pa.binary())], ["lang", "doc_id", "content"])
+
+    def joined(batch: pa.Table) -> pa.Table:
+        content = batch["content"].to_pylist()
+        most = level([len(x) + 1 for x in content], DICTIONARY_BYTES)
+        return pa.table({"lang": batch["lang"][:1], "content": pa.array([b" ".join(excerpt(x, most - 1) for x in content if most > 1)], pa.binary())})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    short = rows.where(few).mapInArrow(excerpts, f"lang string, doc_id {kind}, content binary")
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "content")
+    some = short.withColumn("k", F.row_number().over(first)).where(F.col("k") <= DICTIONARY_ROWS)
+    found = some.select("lang", "k", "content").groupBy("lang").applyInArrow(lambda t: joined(t.sort_by("k")), "lang string, content binary")
+    # Eight bytes are the least that zstandard takes.
+    return {row["lang"]: bytes(row["content"]) for row in found.collect() if len(row["content"]) >= 8}
 
 
 class Judge:

@@ -1,5 +1,6 @@
 """Quality, language, licenses and vectors."""
 
+import time
 import zlib
 
 import numpy as np
@@ -93,6 +94,53 @@ def test_language_of_long_texts(spark):
             assert (found, rejected) == (lang, False), (lang, size)
 
 
+def test_language_against_a_plain_loop(spark):
+    """Every text in equal pieces, each compressed with every dictionary; the least sum wins."""
+    import zstandard
+
+    table = read(spark, FOLDER, "documents").select("doc_id", "text").unionByName(odd(spark).select("doc_id", "text"))
+    contents = li.dictionaries(read(spark, FOLDER, "documents"), li.in_fold("doc_id", 5) != 0)
+    assert len(contents) > 1 and all(8 <= len(x) <= li.DICTIONARY_BYTES for x in contents.values())
+    own = {}
+    for lang, content in contents.items():
+        raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        raw.precompute_compress(level=li.LEVEL)
+        own[lang] = zstandard.ZstdCompressor(dict_data=raw, level=li.LEVEL, write_content_size=False)
+
+    def expected(text):
+        if not any(c.isalpha() for c in text or ""):
+            return "und", 0.0, True
+        words = bytes(b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in text.lower().encode("utf-8", "surrogatepass")).split()
+        rest, count = b" ".join(words), 1
+        while count * 32_768 < len(rest):
+            count += 1
+        sizes = {x: 0 for x in own}
+        for k in range(count):
+            for lang, compressor in own.items():
+                sizes[lang] += len(compressor.compress(rest[len(rest) * k // count : len(rest) * (k + 1) // count]))
+        first, second = sorted((n, lang) for lang, n in sizes.items())[:2]
+        return first[1], 1 / sum(2.0 ** -min(n - first[0], 60) for n in sizes.values()), second[0] - first[0] < 0.002 * first[0]
+
+    for r in li.identified(table, contents).collect():
+        lang, score, rejected = expected(r.text)
+        assert (r.lang_pred, r.rejected) == (lang, rejected) and abs(r.score - score) < 1e-12
+
+
+def test_dictionaries_hold_parts_from_all_over(spark):
+    for size in (1, 255, 256, 700, 5000, 9999):
+        got = li.excerpt(bytes(k % 251 for k in range(10_000)), size)
+        assert len(got) == size
+    marks = " ".join(f"{a}{b}{c}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst" for c in "abcdefghijklmnopqrst")
+    got = li.excerpt(marks.encode(), 4000).decode()
+    assert all(f" {a}" in got for a in "bcdefghijklmnopqrs")
+    assert li.level([5, 100, 7], 30) == 18 and li.level([1, 2], 30) == 2 and li.level([], 30) == 0
+    # Two long texts and a short one fill the dictionary; null ids and ties do no harm.
+    rows = [(1, "x", marks * 20), (None, "x", marks * 20), (2, "x", "zu kurz"), (3, "x", None), (4, None, marks), (5, "y", "abc")]
+    table = spark.createDataFrame(rows, "doc_id bigint, lang string, text string").selectExpr("*", "1 AS k", "2 AS content", "3 AS n")
+    got = li.dictionaries(table, li.F.lit(True))
+    assert set(got) == {"x"} and li.DICTIONARY_BYTES - 8 <= len(got["x"]) <= li.DICTIONARY_BYTES and b"zu kurz" in got["x"]
+
+
 TEXTS = [
     "Licensed under CC BY-NC 4.0. All rights reserved.", "GNU General Public License, version 3 or later", "SPDX-License-Identifier: Apache-2.0",
     "Permission is hereby granted, free of charge, to any person obtaining a copy", "cc by cc by cc by-sa 4.0", "all rights all rights reserved",
@@ -161,6 +209,15 @@ def test_every_alternative_of_a_rule_passes_the_gate():
     assert {h.label for h in ls.gated(ls.padded_words("released under 0BSD")[0], own)} == {"0bsd"}
 
 
+def test_licenses_in_a_long_text():
+    words, n = ls.padded_words("Größe: licensed under cc by 4.0 " * 60_000)  # 2 MB; took a minute when spaces were counted anew for each hit
+    start = time.perf_counter()
+    assert ls.phrase_places(words) == [(7 * k + 3, "cc-by") for k in range(60_000)] and n == 420_000
+    hits = ls.unsuppressed(ls.gated(words, tuple(ls.rules())))
+    assert [(h.label, h.first, h.end) for h in hits] == [("cc-by-4.0", 7 * k + 1, 7 * k + 7) for k in range(60_000)]
+    assert time.perf_counter() - start < 30
+
+
 def test_license_labels(spark):
     df = ls.scanned(docs(spark, list(enumerate(TEXTS))))
     labels = {r.doc_id: {h.label for h in r.hits} for r in df.collect()}
