@@ -20,7 +20,7 @@ from .operators import monthly, scd2, storage
 from .operators.ordering import with_row_number
 from .plans import analytics, deltas, dims, fact, quality, querylog, reports, staging, summaries
 from .plans.warehouse import Warehouse
-from .sources import convert, files, layout, tables, textindex
+from .sources import colocated, convert, files, layout, tables, textindex
 from .streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +265,18 @@ def _layout_cluster(w: Warehouse, spark: SparkSession) -> DataFrame:
     return spark.read.parquet(path).drop(layout.MONTH)
 
 
+def _layout_interleaved(w: Warehouse, spark: SparkSession) -> DataFrame:
+    path = storage.fresh_path(spark, "interleaved")
+    colocated.write_interleaved(w.fact, path)
+    return spark.read.parquet(path)
+
+
+def _layout_bucketed(w: Warehouse, spark: SparkSession, dim: DataFrame, key: str, business: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sales = colocated.write_bucketed(w.fact, storage.fresh_path(spark, f"sales-{key}"), key, buckets, "sales_key")
+    return colocated.sales_by(sales, colocated.write_bucketed(dim, storage.fresh_path(spark, f"members-{key}"), key, buckets), key, business)
+
+
 def _layout_substring(w: Warehouse, spark: SparkSession, text: str) -> DataFrame:
     path = storage.fresh_path(spark, "product-grams")
     textindex.write_index(w.products, path, "product_key", "description", 16)
@@ -557,6 +569,10 @@ def queries() -> dict[str, Query]:
         # layout and query log
         "layout_cluster": _with(lambda w, s, d: _layout_cluster(w, s)),
         "layout_depth": _with(lambda w, s, d: layout.depth(layout.file_ranges(w.clustered_fact, "date_key"))),
+        "layout_interleaved": _with(lambda w, s, d: _layout_interleaved(w, s)),
+        "layout_depth_keys": _with(lambda w, s, d: colocated.depths(_layout_interleaved(w, s))),
+        "layout_bucketed_products": _with(lambda w, s, d: _layout_bucketed(w, s, w.products, "product_key", "stock_code")),
+        "layout_bucketed_customers": _with(lambda w, s, d: _layout_bucketed(w, s, w.customers, "customer_key", "customer_id")),
         "layout_point_lookup": _with(lambda w, s, d: _layout_lookup(w, s)),
         "layout_substring": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["text"])),
         "layout_substring_short": _with(lambda w, s, d: _layout_substring(w, s, LOOKUP["letters"])),

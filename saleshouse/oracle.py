@@ -823,6 +823,7 @@ def _fact_answers() -> dict[str, tuple[str, str]]:
         ),
         "val_total_rows": ("total_fact_rows:i", "SELECT count(*) AS total_fact_rows FROM f"),
         "layout_cluster": (_FACT_SPEC, _FACT_ROWS),
+        "layout_interleaved": (_FACT_SPEC, _FACT_ROWS),
     }
 
 
@@ -947,6 +948,14 @@ def _report_answers() -> dict[str, tuple[str, str]]:
         "pat_point_lookup": (_CUST_SPEC, f"SELECT * FROM cust WHERE customer_id = {K.LOOKUP['customer']}"),
         "pat_range_sum": ("total_revenue:f", f"SELECT {_REVENUE} AS total_revenue FROM f WHERE date_key {_SLICE}"),
         "layout_point_lookup": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE stock_code = {_text(K.LOOKUP['product'])}"),
+        "layout_bucketed_products": (
+            "stock_code:s line_count:i units:i revenue:f",
+            f"SELECT stock_code, count(*) AS line_count, sum(quantity) AS units, {_REVENUE} AS revenue FROM f JOIN prod USING (product_key) GROUP BY 1",
+        ),
+        "layout_bucketed_customers": (
+            "customer_id:i line_count:i units:i revenue:f",
+            f"SELECT cust.customer_id, count(*) AS line_count, sum(quantity) AS units, {_REVENUE} AS revenue FROM f JOIN cust USING (customer_key) GROUP BY 1",
+        ),
         "layout_substring_short": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE contains(description, {_text(K.LOOKUP['letters'])})"),
         "layout_substring": (_PRODUCT_SPEC, f"SELECT * FROM ({_PRODUCT}) WHERE contains(description, {_text(K.LOOKUP['text'])})"),
     }
