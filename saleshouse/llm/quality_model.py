@@ -4,13 +4,13 @@ Tokens are runs of letters and digits, and runs of signs, as they stand in the t
 and pairs of neighbours, hashed to ``DIMENSIONS`` weights. A pair of equal tokens is one feature for all tokens, so that
 repetition of any word counts. Counts are divided by the root of the number of tokens.
 
-Training reads at most ``TRAIN_ROWS`` labelled documents, those with the least hash of their id. ``SHARDS`` groups of them
-are trained side by side for ``EPOCHS`` passes each and their weights averaged; only these weights reach the driver.
+Training reads at most ``TRAIN_ROWS`` labels, those with the least hash of their id; texts become feature counts where they are read. ``SHARDS`` groups of
+these are trained side by side for ``EPOCHS`` passes each and their weights averaged; only these weights reach the driver.
 Every text is scored whole, as one sparse dot product.
 
 Defined results: null and empty text have no features and get the score of the bias. Labels that are null, or whose
-document is missing, teach nothing; without any label every score is 0.5. Repeated rows get equal scores, a repeated label
-counts once. A null doc_id is scored and not held out. An empty table gives an empty result.
+document is missing, teach nothing; without any label every score is 0.5. Repeated rows get equal scores; a repeated label
+and a row repeated with its text count once. A null doc_id is scored and not held out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -82,17 +82,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, allowed: Column) -> np.n
     few = usable.where(hash_share("doc_id", TRAIN_ROWS, usable.count())).distinct()
     chosen = few.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(TRAIN_ROWS)
     # At most TRAIN_ROWS pairs of numbers, so the broadcast is bounded.
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("print"), "text").join(F.broadcast(chosen), "doc_id")
+
+    def counted(batches: Iterator[pa.RecordBatch]):
+        hasher = SpanHasher()
+        for chunk in text_chunks(batches):
+            index, starts, count = features(chunk["text"], hasher)
+            own = np.repeat(np.arange(len(count)), np.diff(starts)) * DIMENSIONS
+            both, times = np.unique(own + index, return_counts=True)
+            bounds = pa.array(np.searchsorted(both, np.arange(len(count) + 1) * DIMENSIONS).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(bounds, pa.array(x.astype(np.int32))) for x in (both % DIMENSIONS, times)]
+            known = [chunk[c].combine_chunks() for c in ("doc_id", "label", "print")]
+            yield pa.RecordBatch.from_arrays([*known, *lists, pa.array(count)], ["doc_id", "label", "print", "index", "times", "tokens"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    known = f"doc_id {kind}, label int, print bigint, index array<int>, times array<int>, tokens bigint"
+    # Numbers of at most DIMENSIONS features a row, not texts, go to the groups; a row that stands several times teaches once.
+    rows = rows.select("doc_id", "label", "print", "text").mapInArrow(counted, known).dropDuplicates(["doc_id", "label", "print"])
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)))
 
     def shard(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.assign(order=part["doc_id"].map(lambda i: mix(np.uint64([i % 2**64]))[0])).sort_values(["order", "label", "text"])
-        hasher, examples = SpanHasher(), []
-        for text, label_ in zip(part["text"], part["label"]):
-            index, _, count = features(pa.array([text], pa.string()), hasher)
-            i, times = np.unique(index, return_counts=True)
-            x = times / np.sqrt(max(int(count[0]), 1))
-            examples.append((np.concatenate(([0], i)), np.concatenate(([1.0], x)), int(label_)))
+        part = part.assign(order=part["doc_id"].map(lambda i: mix(np.uint64([i % 2**64]))[0])).sort_values(["order", "label", "print"])
+        examples = []
+        for index, times, tokens, label_ in zip(part["index"], part["times"], part["tokens"], part["label"]):
+            x = np.asarray(times) / np.sqrt(max(int(tokens), 1))
+            examples.append((np.concatenate(([0], np.asarray(index, np.int64))), np.concatenate(([1.0], x)), int(label_)))
         return pd.DataFrame({"weights": [trained(examples).astype(np.float32).tobytes()], "rows": [len(part)]})
 
     found = rows.groupBy("shard").applyInPandas(shard, "weights binary, rows bigint").collect()

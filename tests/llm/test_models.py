@@ -1,7 +1,10 @@
 """Quality, language, licenses and vectors."""
 
+import math
+import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -35,16 +38,75 @@ def test_quality_scores_are_dot_products(spark):
     weights = np.random.default_rng(1).standard_normal(qm.DIMENSIONS)
     df = odd(spark)
     got = sorted((str(r.doc_id), round(r.score, 9)) for r in qm.scored(df, weights).collect())
-    import pyarrow as pa
-
     expected = []
     for r in df.select("doc_id", "text").collect():
-        index, _, count = qm.features(pa.chunked_array([pa.array([r.text], pa.string())]), SpanHasher())
-        total = sum(weights[i] for i in index) / max(count[0], 1) ** 0.5 + weights[0]
+        counts, tokens = plain_features(r.text)
+        total = sum(weights[i] * n for i, n in counts.items()) / max(tokens, 1) ** 0.5 + weights[0]
         expected.append((str(r.doc_id), round(1 / (1 + np.exp(-np.clip(total, -35, 35))), 9)))
     assert got == sorted(expected)
 
 
+def plain_features(text):
+    """How often each feature stands in a text, and its tokens: words, runs of signs, and pairs of neighbours."""
+    hasher = SpanHasher()
+    tokens = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+", (text or "").encode("utf-8", "surrogatepass"))
+    names = [int(hasher(np.frombuffer(t, np.uint8), np.array([0]), np.array([len(t)]))[0]) for t in tokens]
+    pairs = [int(qm._SAME) if a == b else int(qm.mix(np.uint64([(3 * a + b) % 2**64]))[0]) for a, b in zip(names, names[1:])]
+    return Counter((h >> 20) % (qm.DIMENSIONS - 1) + 1 for h in [*names, *pairs]), len(tokens)
+
+
+def plain_ftrl(examples):
+    """FTRL-proximal, one weight after the other."""
+    z, n = Counter(), Counter()
+
+    def weight(i):
+        if abs(z[i]) <= qm.L1:
+            return 0.0
+        return -(z[i] - math.copysign(qm.L1, z[i])) / ((qm.BETA + math.sqrt(n[i])) / qm.ALPHA + qm.L2)
+
+    for _ in range(qm.EPOCHS):
+        for x, label in examples:
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / qm.ALPHA * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_ftrl_against_a_plain_loop():
+    rnd = np.random.default_rng(12)
+    sparse = [({0: 1.0} | {int(i): float(rnd.random()) for i in rnd.integers(1, 60, 7)}, int(rnd.random() < 0.4)) for _ in range(300)]
+    got = qm.trained([(np.array([*x]), np.array([*x.values()]), label) for x, label in sparse])
+    expected = plain_ftrl(sparse)
+    assert np.count_nonzero(got) == sum(w != 0 for w in expected.values()) > 20
+    assert all(abs(got[i] - w) < 1e-9 for i, w in expected.items())
+
+
+def test_quality_fit_against_plain_training(spark):
+    """Texts of many shapes; one row stands three times, and one id on two texts."""
+    rows = [(k, t) for k, t in enumerate(["good good text, indeed!", None, "", "  ", "a b a b", "x" * 5000 + " é é", "Ⅷ -- !!", "bad 12 12"] * 5)]
+    rows += [rows[0]] * 2 + [(4, "another text of four")]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(45)] + [(3, None), (5, 1)], "doc_id bigint, quality int")
+    got = qm.fit(docs(spark, rows), labels, "quality", qm.in_fold("doc_id", 3) != 1)
+    groups = {}
+    shard = {r.doc_id: r.s for r in labels.selectExpr("doc_id", f"pmod(xxhash64(doc_id, 'shard'), {qm.SHARDS}) AS s").collect()}
+    prints = {r.text: r.p for r in docs(spark, rows).selectExpr("text", "xxhash64(text) AS p").collect()}
+    for i, text in set(rows):
+        if remainder(i, 3) != 1:
+            counts, tokens = plain_features(text)
+            x = {0: 1.0} | {f: c / math.sqrt(max(tokens, 1)) for f, c in counts.items()}
+            order = (int(qm.mix(np.uint64([i]))[0]), i % 2, prints[text])
+            groups.setdefault(shard[i], []).append((order, x, i % 2))
+    total = sum(map(len, groups.values()))
+    expected = np.zeros(qm.DIMENSIONS)
+    for group in groups.values():
+        for i, w in plain_ftrl([(x, label) for _, x, label in sorted(group, key=lambda e: e[0])]).items():
+            expected[i] += w * len(group) / total
+    assert np.count_nonzero(expected) and np.abs(got - expected).max() < 1e-6
+
+
 def test_quality_without_labels(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     weights = qm.fit(odd(spark), labels, "quality", qm.in_fold("doc_id", 3) != 1)
@@ -149,8 +211,6 @@ TEXTS = [
 
 
 def test_licenses_against_plain_scanning(spark):
-    import re
-
     rules = ls.rules()
     assert len(rules) > 300
     df = docs(spark, list(enumerate(TEXTS)) + [(50, None), (51, "")])
