@@ -40,6 +40,28 @@ def test_rules_with_more_rejection_per_cost_come_first(spark):
     assert [r.name for r in q.cascade_order(df, [misses, hits])] == ["hits", "misses"]
 
 
+def test_costs_are_those_of_the_rules(spark):
+    """A rule that scans the text ten times costs more than one that looks at a number, however long a job takes."""
+    cheap = q.Rule("cheap", lambda: q.F.col("n_words") < 0)
+    dear = q.Rule("dear", lambda: sum((q.F.regexp_count("text", q.F.lit(f"[a-{x}]+q")) for x in "mnopqrstuv"), q.F.lit(0)) < 0)
+    sample = q.measured(docs(spark, [(k, " ".join(f"w{k}x{j}" for j in range(400))) for k in range(300)])).repartition(4)
+    path = q.Scratch(spark).keep(sample, "costs")
+    costs = q.rule_costs(path, [cheap, dear])
+    assert costs["dear"] > 10 * costs["cheap"] > 0
+    # Both reject the same documents; the cheap one comes first although it was given last.
+    every = [q.Rule("dear", lambda: dear.rejects() | (q.F.col("n_words") > 0)), q.Rule("cheap", lambda: q.F.col("n_words") > 0)]
+    df = docs(spark, [(k, " ".join(f"w{k}x{j}" for j in range(400))) for k in range(300)])
+    assert [r.name for r in q.cascade_order(df, every)] == ["cheap", "dear"]
+
+
+def test_order_counts_only_what_is_left():
+    # Rule 1 rejects what rule 0 rejects already, rule 2 rejects fewer but others.
+    hits = {(True, True, False): 60, (True, False, False): 5, (False, False, True): 20, (False, True, True): 1, (False, False, False): 14}
+    assert q.by_rejection_per_cost(hits, [1.0, 1.0, 1.0]) == [0, 2, 1]
+    assert q.by_rejection_per_cost(hits, [10.0, 1.0, 1.0]) == [1, 2, 0]
+    assert q.by_rejection_per_cost({}, [2.0, 1.0, 1.0]) == [1, 2, 0] and q.by_rejection_per_cost({}, []) == []
+
+
 def test_odd_rows_and_no_rows(spark):
     assert q.cascaded(odd(spark)).count() == odd(spark).count()
     assert q.cascaded(docs(spark, [])).count() == 0
