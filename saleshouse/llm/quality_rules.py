@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .tables import Scratch, read
 
 SAMPLE = 2_000  # documents, at most, that cost and selectivity are estimated on
-REPEATS = 20  # of the sample when a rule is timed
+REPEATS = 10  # of the sample when a rule is timed
 PARTS = 8  # that the sample is timed in
 LEAST_SECONDS = 0.001  # what a rule costs that takes no measurable time
 
@@ -121,15 +121,13 @@ def rule_costs(sample: DataFrame, rules: list[Rule]) -> dict[str, float]:
 
     Counts of one sample are done in less time than a job needs to start; over many repeats the rule is what is timed.
     """
-    many = sample.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+    once, many = (sample.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.lit(n)))) for n in (1, REPEATS))
 
     def seconds(condition: Column) -> float:
-        taken = []
-        for _ in range(2):  # the first run also compiles
-            start = time.perf_counter()
-            many.agg(F.count_if(condition)).collect()
-            taken.append(time.perf_counter() - start)
-        return min(taken)
+        once.agg(F.count_if(condition)).collect()  # compiles
+        start = time.perf_counter()
+        many.agg(F.count_if(condition)).collect()
+        return time.perf_counter() - start
 
     idle = seconds(F.isnull("text"))
     return {r.name: max(seconds(r.rejects()) - idle, LEAST_SECONDS) for r in rules}
