@@ -9,6 +9,7 @@ from ..functions import columns as C
 from ..operators import monthly
 from ..operators.monthly import MONTH
 from ..operators.ordering import with_running_total
+from ..operators.storage import CODEC
 
 
 def with_month(fact: DataFrame) -> DataFrame:
@@ -21,12 +22,12 @@ def clustered(fact: DataFrame, keys: tuple[str, ...] = ("date_key", "country_key
     ``spread`` ends the range key: a day or country with much of the data still fills many files,
     and each task writes one month, or a few small ones.
     """
-    return with_month(fact).repartitionByRange(*keys, spread).sortWithinPartitions(*keys, spread)
+    return with_month(fact.repartitionByRange(*keys, spread).sortWithinPartitions(*keys, spread))
 
 
 def write_clustered(fact: DataFrame, path: str, keys: tuple[str, ...] = ("date_key", "country_key"), spread: str = "sales_key") -> None:
     """Write ordered files to a new path, in one folder per month. For a table that is changed later, see `publish_clustered`."""
-    clustered(fact, keys, spread).write.mode("overwrite").partitionBy(MONTH).parquet(path)
+    clustered(fact, keys, spread).write.mode("overwrite").option("compression", CODEC).partitionBy(MONTH).parquet(path)
 
 
 def publish_clustered(fact: DataFrame, base: str) -> monthly.Pointer:

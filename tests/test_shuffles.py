@@ -71,3 +71,9 @@ def test_raw_rows_of_odd_tables(spark, folder):
         (31, "1", "n/a", "cold plate", "NATION_3", "sales-1996.csv"),
         (41, "2", None, "old bolt", "NATION_5", None),
     ]
+
+
+def test_work_tables_are_compressed(spark, tmp_path):
+    kept = storage.materialize(spark.range(5), "small")
+    published = storage.publish(spark.range(5), str(tmp_path / "t"))
+    assert all(".zstd." in name for df in (kept, published) for name in df.inputFiles())
