@@ -27,12 +27,12 @@ QUERIES = [
 
 def loads(spark, folder):
     """The pipeline's steps in order; each writes its table."""
-    path = catalog.feed(spark, folder)
+    csv, parquet = catalog.csv_feed(spark, folder), catalog.parquet_feed(spark, folder)
     warehouse = catalog.warehouse(spark, folder)
     moving = catalog.warehouse(spark, folder, "moving")
     return {
-        "load_csv": lambda: files.copy_csv(spark, f"{path}/csv").rows.count(),
-        "load_parquet": lambda: files.copy_parquet(spark, f"{path}/parquet").rows.count(),
+        "load_csv": lambda: files.copy_csv(spark, csv).rows.count(),
+        "load_parquet": lambda: files.copy_parquet(spark, parquet).rows.count(),
         "load_staging": lambda: warehouse.stg.count(),
         "load_dimensions": lambda: [t.count() for t in (warehouse.dates, warehouse.countries, warehouse.customers, warehouse.products)],
         "load_fact": lambda: warehouse.fact.count(),

@@ -71,29 +71,43 @@ def _order_number() -> Column:
     return F.replace(F.col("invoice_no"), F.lit("C"), F.lit("")).cast("bigint")
 
 
-def feed(spark: SparkSession, folder: str) -> str:
-    """CSV and Parquet files with the raw rows. Every order number divisible by 103 has a field too many."""
-    key = (spark.sparkContext.applicationId, folder, _stamp(spark, folder))
+def _feed_path(spark: SparkSession, folder: str, kind: str, write: Callable[[DataFrame, str], None]) -> str:
+    """Where the raw rows lie as files of one kind; written at its first use, from one pass over the joined tables."""
+    key = (spark.sparkContext.applicationId, folder, kind, _stamp(spark, folder))
     if key not in _FEEDS:
-        path = storage.fresh_path(spark, "feed")
-        raw = tables.raw_transactions(spark, folder)
-        spoiled = F.when(_order_number() % 103 == 0, F.concat("country", F.lit(",extra"))).otherwise(F.col("country"))
-        named = [F.col(name).alias(source) for source, name in V.SOURCE_COLUMNS.items()]
-        lines = raw.withColumn("country", spoiled)
-        late = F.col("file_name") >= "sales-1999.csv"
-        for part, rows in (("early", lines.where(~late)), ("late", lines.where(late))):
-            # Quoted with a sign the loader does not know, so that the extra comma splits the field.
-            rows.select(*named).write.option("header", "true").option("quote", "~").csv(f"{path}/csv/{part}")
-        typed = {"Quantity": "int", "Customer ID": "double"}
-        raw.select(
-            *(F.col(name).cast(typed.get(source, "string")).alias(source) for source, name in V.SOURCE_COLUMNS.items())
-        ).write.parquet(f"{path}/parquet")
+        path = storage.fresh_path(spark, f"feed-{kind}")
+        write(tables.raw_transactions(spark, folder), path)
         _FEEDS[key] = path
     return _FEEDS[key]
 
 
+def csv_feed(spark: SparkSession, folder: str) -> str:
+    """CSV files with the raw rows, in a folder for the early and one for the late years. Every order number divisible by 103 has a field too many."""
+
+    def write(raw: DataFrame, path: str) -> None:
+        spoiled = F.when(_order_number() % 103 == 0, F.concat("country", F.lit(",extra"))).otherwise(F.col("country"))
+        late = F.col("file_name") >= "sales-1999.csv"
+        named = [F.col(name).alias(source) for source, name in V.SOURCE_COLUMNS.items()]
+        lines = raw.withColumn("country", spoiled).where(late.isNotNull())
+        # Quoted with a sign the loader does not know, so that the extra comma splits the field.
+        lines.select(*named, F.when(late, "late").otherwise("early").alias("years")).write.partitionBy("years").option(
+            "header", "true"
+        ).option("quote", "~").csv(path)
+        for years in ("early", "late"):
+            storage.make_folder(spark, f"{path}/years={years}")  # also where no row fell
+
+    return _feed_path(spark, folder, "csv", write)
+
+
+def parquet_feed(spark: SparkSession, folder: str) -> str:
+    """Parquet files with the raw rows, some columns typed."""
+    typed = {"Quantity": "int", "Customer ID": "double"}
+    columns = [F.col(name).cast(typed.get(source, "string")).alias(source) for source, name in V.SOURCE_COLUMNS.items()]
+    return _feed_path(spark, folder, "parquet", lambda raw, path: raw.select(*columns).write.option("compression", storage.CODEC).parquet(path))
+
+
 def _copy_csv(spark: SparkSession, folder: str, on_error: str = "CONTINUE") -> files.Load:
-    return files.copy_csv(spark, f"{feed(spark, folder)}/csv", on_error=on_error)
+    return files.copy_csv(spark, csv_feed(spark, folder), on_error=on_error)
 
 
 def _totals(history: DataFrame) -> DataFrame:
@@ -104,21 +118,22 @@ def _totals(history: DataFrame) -> DataFrame:
 
 
 def _incremental(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{feed(spark, folder)}/csv"
-    history = files.copy_csv(spark, f"{path}/early").history
+    path = csv_feed(spark, folder)
+    history = files.copy_csv(spark, f"{path}/years=early").history
     return files.copy_new_csv(spark, path, history).rows.select(*files.RAW_COLUMNS)
 
 
 def _stream(spark: SparkSession, folder: str) -> DataFrame:
     target = storage.fresh_path(spark, "stream")
-    rows = ingest.ingest_available(spark, f"{feed(spark, folder)}/csv", f"{target}/rows", f"{target}/checkpoint")
+    rows = ingest.ingest_available(spark, csv_feed(spark, folder), f"{target}/rows", f"{target}/checkpoint")
     return rows.select(*files.RAW_COLUMNS)
 
 
 def _csv_to_parquet(spark: SparkSession, folder: str) -> DataFrame:
-    source = f"{feed(spark, folder)}/plain-csv"
+    typed = parquet_feed(spark, folder)
+    source = f"{typed}-plain-csv"
     if not storage.exists(spark, source):
-        spark.read.parquet(f"{feed(spark, folder)}/parquet").write.option("header", "true").csv(source)
+        spark.read.parquet(typed).write.option("header", "true").csv(source)
     report = convert.csv_to_parquet(spark, source, storage.fresh_path(spark, "converted"))
     # Sizes depend on how the rows fall into files.
     return report.drop("csv_mb", "parquet_mb", "compression_pct")
@@ -359,12 +374,12 @@ def queries() -> dict[str, Query]:
     return {
         # sources
         "src_list_files": lambda s, d: files.list_files(s, d, r".*/(lineitem|orders|part|customer)\.parquet"),
-        "src_csv_preview": lambda s, d: files.preview_csv(s, f"{feed(s, d)}/csv", ordered=True),
-        "src_parquet_preview": lambda s, d: files.preview_parquet(s, f"{feed(s, d)}/parquet", ordered=True),
+        "src_csv_preview": lambda s, d: files.preview_csv(s, csv_feed(s, d), ordered=True),
+        "src_parquet_preview": lambda s, d: files.preview_parquet(s, parquet_feed(s, d), ordered=True),
         "src_copy_csv": _plain(lambda s, d: raw_rows(_copy_csv(s, d))),
-        "src_copy_parquet": _plain(lambda s, d: raw_rows(files.copy_parquet(s, f"{feed(s, d)}/parquet"))),
+        "src_copy_parquet": _plain(lambda s, d: raw_rows(files.copy_parquet(s, parquet_feed(s, d)))),
         "src_on_error": _plain(lambda s, d: raw_rows(_copy_csv(s, d, "SKIP_FILE_50%"))),
-        "src_failed_rows": _plain(lambda s, d: files.validate_csv(s, f"{feed(s, d)}/csv").select("error", "raw_text")),
+        "src_failed_rows": _plain(lambda s, d: files.validate_csv(s, csv_feed(s, d)).select("error", "raw_text")),
         "src_load_history": _plain(lambda s, d: _totals(_copy_csv(s, d).history)),
         "src_failed_loads": _plain(lambda s, d: _by_status(_copy_csv(s, d, "SKIP_FILE").history)),
         "src_incremental": _plain(_incremental),

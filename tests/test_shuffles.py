@@ -73,6 +73,15 @@ def test_raw_rows_of_odd_tables(spark, folder):
     ]
 
 
+def test_a_feed_of_one_kind_writes_that_kind_only(spark, folder):
+    path = catalog.csv_feed(spark, folder)
+    kinds = [key[2] for key in catalog._FEEDS if key[1] == folder]
+    assert kinds == ["csv"] and path == catalog.csv_feed(spark, folder)
+    rows = spark.read.option("header", "true").csv(path)
+    assert sorted((r.Invoice, r.years) for r in rows.collect()) == [("1", "early"), ("1", "early"), ("2", "late"), ("3", "early")]
+    assert [r.invoice_no for r in catalog._incremental(spark, folder).collect()] == ["2"]
+
+
 def test_work_tables_are_compressed(spark, tmp_path):
     kept = storage.materialize(spark.range(5), "small")
     published = storage.publish(spark.range(5), str(tmp_path / "t"))
