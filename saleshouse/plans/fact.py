@@ -69,15 +69,15 @@ def fact_sales(
 
     The row id of the staging row is the sales key: unique, in staging order and free. Only the
     ``by_country`` customer dimension can repeat a staging row, so only it needs numbering.
-    Dimensions that fit Spark's broadcast threshold are broadcast by Spark, others are shuffled.
+    Dimensions that fit Spark's broadcast threshold are broadcast by Spark, others are shuffled. The countries,
+    the fewest, come first, so that no shuffle carries their names.
     """
-    rows = (
-        _with_customer(stg.where("is_valid"), scd2.current(customers))
-        .join(_product_lookup(scd2.current(products)), "stock_code")
-        .join(_country_lookup(countries), "country")
-    )
+    placed = stg.where("is_valid").join(_country_lookup(countries), "country")
+    rows = _with_customer(placed, scd2.current(customers)).join(_product_lookup(scd2.current(products)), "stock_code")
     if mode == "by_country":
-        rows = with_row_number(rows, [F.col("_source_row_id"), F.col("customer_key")], "__sales")
+        # The numbering writes its rows, so only the fact's columns go there.
+        kept = rows.select("_source_row_id", "invoice_date_key", *[c for c in FACT_COLUMNS if c not in ("sales_key", "date_key")])
+        rows = with_row_number(kept, [F.col("_source_row_id"), F.col("customer_key")], "__sales")
         return _shape(rows, "__sales")
     return _shape(rows)
 
@@ -93,12 +93,8 @@ def fact_sales_as_of(stg: DataFrame, customers: DataFrame, products: DataFrame,
         F.col("stock_code").alias("__code"), "product_key", F.col(scd2.FROM).alias("__pf"), F.col(scd2.TO).alias("__pt")
     )
     sold = (F.col("stock_code") == F.col("__code")) & (F.col("__pf") <= at) & (F.col("__pt").isNull() | (at < F.col("__pt")))
-    rows = (
-        _with_customer(stg.where("is_valid"), customers, in_force)
-        .join(versions, sold)
-        .drop("__code", "__pf", "__pt")
-        .join(_country_lookup(countries), "country")
-    )
+    placed = stg.where("is_valid").join(_country_lookup(countries), "country")
+    rows = _with_customer(placed, customers, in_force).join(versions, sold).drop("__code", "__pf", "__pt")
     return _shape(rows)
 
 

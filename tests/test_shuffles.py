@@ -86,3 +86,13 @@ def test_work_tables_are_compressed(spark, tmp_path):
     kept = storage.materialize(spark.range(5), "small")
     published = storage.publish(spark.range(5), str(tmp_path / "t"))
     assert all(".zstd." in name for df in (kept, published) for name in df.inputFiles())
+
+
+def test_the_numbering_by_country_writes_only_the_facts_columns(spark, monkeypatch):
+    seen = []
+    number = fact.with_row_number
+    monkeypatch.setattr(fact, "with_row_number", lambda df, *a: seen.append(df.columns) or number(df, *a))
+    shop = Shop(spark, [line("1", customer="7", country="France"), line("2", customer="7", country="Spain"), line("3", customer=None)], "by_country")
+    got = shop.fact.select("sales_key", "invoice_no").orderBy("sales_key").collect()
+    assert [tuple(r) for r in got] == [(1, "1"), (2, "1"), (3, "2"), (4, "2"), (5, "3")]
+    assert set(seen[-1]) == {"_source_row_id", "invoice_date_key", *fact.FACT_COLUMNS} - {"sales_key", "date_key"}
