@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.storage import CODEC
 from .layout import depth, file_ranges
 
 BITS = 6  # of each key in the interleaved order
+_PLACE = "__place"
 
 
 def cut_points(table: DataFrame, keys: tuple[str, str]) -> list[list]:
@@ -23,7 +25,8 @@ def part_number(key: str, cuts: list) -> Column:
     """Which part a value is in, 0 to ``2 ** BITS - 1``: few parts are spread over all bits, so no key's high bits stay empty. Null is in the first."""
     if not cuts:
         return F.lit(0)
-    before = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= F.col(key)))
+    # Plain comparisons, which Spark compiles; a function over an array would be interpreted for each row.
+    before = reduce(lambda a, b: a + b, [F.when(F.lit(c) <= F.col(key), 1).otherwise(0) for c in cuts])
     return F.floor(before * F.lit(1 << BITS) / F.lit(len(cuts) + 1)).cast("int")
 
 
@@ -45,9 +48,11 @@ def write_interleaved(
     The cut points take one pass over two columns. A value that holds much of the data is one part of its key and is split by the other key and by ``spread``.
     """
     one, two = (part_number(k, cuts) for k, cuts in zip(keys, cut_points(fact, keys)))
-    order = [interleaved(one, two), *map(F.col, keys), F.col(spread)]
-    ordered = fact.repartitionByRange(files, *order) if files else fact.repartitionByRange(*order)
-    ordered.sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+    # A column, not an expression of the order: a sort works its expressions out again at each comparison.
+    placed = fact.withColumn(_PLACE, interleaved(one, two))
+    order = [_PLACE, *keys, spread]
+    ordered = placed.repartitionByRange(files, *order) if files else placed.repartitionByRange(*order)
+    ordered.sortWithinPartitions(*order).drop(_PLACE).write.mode("overwrite").option("compression", CODEC).parquet(path)
 
 
 def depths(table: DataFrame, keys: tuple[str, ...] = ("date_key", "country_key")) -> DataFrame:

@@ -96,3 +96,22 @@ def test_the_numbering_by_country_writes_only_the_facts_columns(spark, monkeypat
     got = shop.fact.select("sales_key", "invoice_no").orderBy("sales_key").collect()
     assert [tuple(r) for r in got] == [(1, "1"), (2, "1"), (3, "2"), (4, "2"), (5, "3")]
     assert set(seen[-1]) == {"_source_row_id", "invoice_date_key", *fact.FACT_COLUMNS} - {"sales_key", "date_key"}
+
+
+def test_part_numbers_are_compiled(spark):
+    cuts = [3, 5, 9]
+    rows = spark.createDataFrame([(k,) for k in (None, 1, 3, 4, 5, 8, 9, 20)], "k int").select("k", colocated.part_number("k", cuts).alias("p"))
+    assert {r.k: r.p for r in rows.collect()} == {k: (0 if k is None else bisect_right(cuts, k) * 64 // 4) for k in (None, 1, 3, 4, 5, 8, 9, 20)}
+    assert "lambda" not in "".join(plan(rows))
+
+
+def test_the_interleaved_order_is_a_column(spark, tmp_path, monkeypatch):
+    seen = []
+    kind = type(spark.range(0))
+    plain = kind.sortWithinPartitions
+    monkeypatch.setattr(kind, "sortWithinPartitions", lambda df, *cols: seen.append(cols) or plain(df, *cols))
+    rows = spark.range(50).selectExpr("id AS sales_key", "cast(id % 7 AS int) AS date_key", "id % 5 AS country_key")
+    colocated.write_interleaved(rows, str(tmp_path / "t"))
+    assert all(isinstance(c, str) for cols in seen for c in cols)
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.columns == rows.columns and sorted(tuples(back)) == sorted(tuples(rows))
