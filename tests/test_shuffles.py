@@ -115,3 +115,11 @@ def test_the_interleaved_order_is_a_column(spark, tmp_path, monkeypatch):
     assert all(isinstance(c, str) for cols in seen for c in cols)
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.columns == rows.columns and sorted(tuples(back)) == sorted(tuples(rows))
+
+
+def test_baskets_of_one_block_meet_without_another_shuffle(spark, no_broadcast):
+    rows = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (None, 1), (3, None)], "b int, i int")
+    found = pairs.frequent_pairs(rows, "b", "i", 1, None)
+    text = "\n".join(plan(found))
+    assert re.search(r"SortMergeJoin \[basket#\d+\w*\], \[basket#\d+\w*\], Inner, \(a#", text)
+    assert sorted(tuples(found)) == [(1, 2, 2), (1, 3, 1), (2, 3, 1)]
