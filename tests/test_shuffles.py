@@ -123,3 +123,11 @@ def test_baskets_of_one_block_meet_without_another_shuffle(spark, no_broadcast):
     text = "\n".join(plan(found))
     assert re.search(r"SortMergeJoin \[basket#\d+\w*\], \[basket#\d+\w*\], Inner, \(a#", text)
     assert sorted(tuples(found)) == [(1, 2, 2), (1, 3, 1), (2, 3, 1)]
+
+
+def test_a_product_summary_does_not_multiply_its_rows(spark):
+    shop = Shop(spark, [line("1"), line("1"), line("2", customer=None), line("3", code="B", customer="8"), line("4", code="B", customer=None)])
+    summary = summaries.product_summary(shop.fact, shop.products, shop.categories, shop.dates)
+    assert "Expand" not in "\n".join(plan(summary))
+    got = summary.select("stock_code", "times_ordered", "unique_customers", "total_quantity_sold")
+    assert sorted(tuples(got)) == [("A", 2, 1, 3), ("B", 2, 1, 2)]
