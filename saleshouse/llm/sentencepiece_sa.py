@@ -18,6 +18,7 @@ result. Only doc_id and text are read.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -155,6 +156,18 @@ def occurrences(order: np.ndarray, first: np.ndarray, words: np.ndarray, lengths
     return search(False), search(True)
 
 
+def ordered(*columns: np.ndarray) -> np.ndarray:
+    """The order of rows by the columns (of numbers from 0 on), the first one first: as one number a row where that fits."""
+    sizes = [int(x.max(initial=0)) + 1 for x in columns]
+    if math.prod(sizes) >= 1 << 63:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(len(columns[0]), np.int64)
+    for column, size in zip(columns, sizes):
+        key *= size
+        key += column
+    return np.argsort(key)
+
+
 def merged_alone(begin: int, end: int, starts: list[int], stops: list[int], ranks: list[int], boundary: np.ndarray) -> None:
     """The same merges for one long cut, with a heap: edges wait at the symbol pairs that could make them."""
     by_span = {(s, e): (r, s, e) for s, e, r in zip(starts, stops, ranks)}
@@ -197,7 +210,7 @@ def encode_cuts(data: np.ndarray, bounds: np.ndarray, v: Vocabulary) -> tuple[np
     symbol[begin[size == 1]] = v.ids[piece[size == 1]]
     begin, stop, piece = begin[size > 1], stop[size > 1], piece[size > 1]
     cut, rank = cut_of[begin], v.rank[v.ids[piece]]
-    turn = np.lexsort((begin, rank, cut))
+    turn = ordered(cut, rank, begin - bounds[cut])
     begin, stop, cut, rank, ids = begin[turn], stop[turn], cut[turn], rank[turn], v.ids[piece[turn]]
     every = begin, stop, ids
 
@@ -209,22 +222,27 @@ def encode_cuts(data: np.ndarray, bounds: np.ndarray, v: Vocabulary) -> tuple[np
             some = slice(edges[c], edges[c + 1])
             merged_alone(int(bounds[c]), int(bounds[c + 1]), begin[some].tolist(), stop[some].tolist(), rank[some].tolist(), boundary)
         short = ~long_cut[cut]
-        begin, stop, cut, ids = begin[short], stop[short], cut[short], ids[short]
+        begin, stop, cut = begin[short], stop[short], cut[short]
+    # Where the symbol that begins at a place ends; after the end, and where none begins any more, a place beyond all.
+    size = len(data)
+    after = np.full(size + 2, size + 1, np.int32 if size < 1 << 30 else np.int64)
+    places = np.flatnonzero(boundary)
+    after[places[:-1]] = places[1:]
+    begin, stop, cut = (x.astype(after.dtype) for x in (begin, stop, cut))
+    going = np.zeros(len(bounds) - 1, bool)
     while len(begin):
-        np.cumsum(boundary, out=before[1:])
-        free = boundary[begin] & boundary[stop] & (before[stop] - before[begin] == 2)
-        at = np.flatnonzero(free)
+        at = np.flatnonzero(after[after[begin]] == stop)  # edges that span two symbols
         at = at[np.concatenate(([True], cut[at][1:] != cut[at][:-1]))] if len(at) else at
         if not len(at):
             break
-        # The boundary inside: the second one from the edge's begin on.
-        places = np.flatnonzero(boundary)
-        boundary[places[before[begin[at]] + 1]] = False
-        going = np.zeros(len(bounds) - 1, bool)
+        middle = after[begin[at]]
+        boundary[middle] = False
+        after[begin[at]], after[middle] = stop[at], size + 1
+        going[:] = False
         going[cut[at]] = True
         alive = going[cut] & boundary[begin] & boundary[stop]
         alive[at] = False
-        begin, stop, cut, ids = begin[alive], stop[alive], cut[alive], ids[alive]
+        begin, stop, cut = begin[alive], stop[alive], cut[alive]
 
     # Names of the symbols: a span of more than one character is the piece with that span.
     begin, stop, ids = every

@@ -335,3 +335,13 @@ def test_lines_that_differ_in_numbers_stay(spark):
     rows.append((4, rows[2][1].replace("12", "13")))
     got = {r.doc_id: r.text for r in ld.without_repeats(docs(spark, rows)).collect()}
     assert got == {1: rows[0][1], 2: "12\n12", 3: rows[2][1], 4: ""}
+
+
+def test_edges_are_ordered_by_one_number_where_it_fits():
+    from saleshouse.llm.sentencepiece_sa import ordered
+
+    rnd = np.random.default_rng(5)
+    for top in (4, 1 << 40):  # the product of the second does not fit
+        columns = [rnd.integers(0, top, 500) for _ in range(2)] + [rnd.permutation(500)]
+        assert ordered(*columns).tolist() == np.lexsort(columns[::-1]).tolist()
+    assert ordered(*[np.zeros(0, np.int64)] * 3).tolist() == []
