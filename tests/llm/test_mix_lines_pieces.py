@@ -13,7 +13,7 @@ import corpus_pipeline
 from saleshouse.llm import line_dedup as ld
 from saleshouse.llm import sentencepiece_sa as sp
 from saleshouse.llm import source_mix as sm
-from saleshouse.llm.tables import SpanHasher, mix, read
+from saleshouse.llm.tables import Scratch, SpanHasher, mix, read
 
 from .data import FOLDER, SMALL, docs, groups, odd, words
 
@@ -345,3 +345,46 @@ def test_edges_are_ordered_by_one_number_where_it_fits():
         columns = [rnd.integers(0, top, 500) for _ in range(2)] + [rnd.permutation(500)]
         assert ordered(*columns).tolist() == np.lexsort(columns[::-1]).tolist()
     assert ordered(*[np.zeros(0, np.int64)] * 3).tolist() == []
+
+
+def test_runs_of_a_key_part_no_rows_that_fit(spark):
+    """Two rows of a key that are `in_place` are of one run; rows that are in place with none may go."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    rows = []
+    for i in range(3000):
+        n = rnd.choice([rnd.randrange(36, 60), rnd.randrange(36, 500), 10 * rnd.randrange(4, 50)])
+        rows.append((rnd.randrange(400), i, n, -1 if rnd.random() < 0.05 else rnd.randrange(n - 9)))
+    df = spark.createDataFrame(rows, "key bigint, id bigint, n int, place int")
+    a, b = ([F.col(c).alias(f"{side}_{c}") for c in df.columns] for side in "ab")
+    fit = df.select(*a).join(df.select(*b), (F.col("a_key") == F.col("b_key")) & (F.col("a_id") < F.col("b_id")) & ld.in_place("a_", "b_"))
+    fit = [(r.a_id, r.b_id) for r in fit.collect()]
+    run = {r.id: (r.key, r.run, r.run2, r.run3) for r in ld.apart(df).collect()}
+    assert fit and all(x in run and run[x] == run.get(y) for x, y in fit)
+    assert len(run) < 0.8 * len(rows)
+
+
+def test_keys_are_made_once_a_class_and_go_through_no_shuffle(spark, monkeypatch):
+    """Lines that stand in many documents have one row a part of the keys, and key lists are in no exchange."""
+    plans, sizes = [], []
+
+    class Seen(Scratch):
+        def keep(self, df, label):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().keep(df, label)
+
+        def keep_parts(self, df, label, column, values):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            tables = super().keep_parts(df, label, column, values)
+            sizes.extend(t.count() for t in tables)
+            return tables
+
+    monkeypatch.setattr(ld, "Scratch", Seen)
+    line = "the same line of some words stands in every document of the table"
+    rows = [(i, f"{line}\nline number {'x' * i} is of this document alone and of no other") for i in range(40)]
+    got = ld.without_repeats(docs(spark, rows).repartition(8))
+    assert sum(r.n_removed for r in got.collect()) >= 39
+    assert sizes[0] == 41 and max(sizes[1:]) <= 41
+    shuffled = [line for p in plans for line in p.split("\n") if "Exchange hashpartitioning" in line]
+    assert shuffled and not any("keys#" in line for line in shuffled)
