@@ -388,3 +388,71 @@ def test_keys_are_made_once_a_class_and_go_through_no_shuffle(spark, monkeypatch
     assert sizes[0] == 41 and max(sizes[1:]) <= 41
     shuffled = [line for p in plans for line in p.split("\n") if "Exchange hashpartitioning" in line]
     assert shuffled and not any("keys#" in line for line in shuffled)
+
+
+def variants(count, share, rnd):
+    """Lines that each differ from one base in about this share of its bytes."""
+    vocabulary = ["".join(rnd.choice("etaoinshrdlu") for _ in range(rnd.randrange(2, 9))) for _ in range(500)]
+    base = " ".join(rnd.choice(vocabulary) for _ in range(45))
+    return sorted({edited(base, max(1, int(share * len(base))), rnd) for _ in range(count)})
+
+
+def test_pairs_of_a_large_group_below_the_similarity_are_no_rows(spark, monkeypatch):
+    """Lines that share most keys but link with few others meet in groups; no table has a row for each of their pairs."""
+    counts = []
+
+    class Seen(Scratch):
+        def keep(self, df, label):
+            table = super().keep(df, label)
+            counts.append((table.count(), label))
+            return table
+
+    monkeypatch.setattr(ld, "Scratch", Seen)
+    lines = variants(200, 0.08, random.Random(6))
+    ld.without_repeats(docs(spark, list(enumerate(lines)))).count()
+    assert len(lines) > 190 and max(counts)[0] <= 2 * ld.SLOTS * len(lines), max(counts)
+
+
+def test_last_step_finds_every_link_at_one_key(spark, monkeypatch):
+    """Groups of few rows, in batches that cut them, give each link of different labels that shares a key in place, and none twice."""
+    monkeypatch.setattr(ld, "MEET", 8)
+    monkeypatch.setattr(ld, "_PAIRS", 40)
+    rnd = random.Random(9)
+    lines = sorted({x for share in (0.03, 0.05, 0.06) for x in variants(50, share, rnd)} | {f"row {k} of a table" for k in range(40)})
+    normal = [ld.normal_line(x) for x in lines]
+    _, _, _, s1, s2, sizes, keys, places = ld.line_rows(pa.chunked_array([pa.array([x.decode() for x in normal])]), SpanHasher())
+    own = [dict(zip(k.as_py(), p.as_py())) for k, p in zip(keys, places)]
+    label = [i // 3 for i in range(len(lines))]
+    rows = [(k, i, int(sizes[i]), p, label[i]) for i, held in enumerate(own) for k, p in held.items()]
+    n = sizes.tolist()
+
+    def meet(a, b):
+        allowed = (1 - ld.SIMILAR) * max(n[a], n[b]) + 1e-9
+        moved = [
+            abs(n[a] - n[b]) if min(own[a][k], own[b][k]) < 0 else abs(own[a][k] - own[b][k]) + abs(n[a] - own[a][k] - n[b] + own[b][k])
+            for k in set(own[a]) & set(own[b])
+        ]
+        bits = int(s1[a] ^ s1[b]).bit_count() + int(s2[a] ^ s2[b]).bit_count()
+        near = max(n[a], n[b]) < ld.LONG or bits <= (ld.RADIUS if max(n[a], n[b]) < ld.WIDE else ld.RADIUS_WIDE)
+        return near and any(x <= allowed for x in moved) and ld.within_edits(normal[a], normal[b], int(allowed))
+
+    expected = {(a, b) for b in range(len(lines)) for a in range(b) if label[a] != label[b] and meet(a, b)}
+    hashes = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(zip(s1.view(np.int64), s2.view(np.int64)))], "id bigint, s1 bigint, s2 bigint")
+    classes = spark.createDataFrame(list(enumerate(normal)), "class bigint, normal binary")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        links = ld.last_links(spark.createDataFrame(rows, "key bigint, id bigint, n int, place int, label bigint"), hashes, classes, Scratch(spark)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(expected) > 500 and len(links) == len(expected)
+    assert {tuple(sorted((r.a, r.b))) for r in links} == expected
+
+
+def test_fine_simhashes_of_similar_lines_are_near(spark):
+    rnd = random.Random(4)
+    pairs = [(a, edited(a, int(0.1 * len(a)), rnd)) for size in (22, 30, 60, 120) for a in (variants(1, 0.1, rnd)[0] * 4 for _ in range(40)) for a in [a[: 6 * size]]]
+    lines = [(2 * i + k, ld.normal_line(x)) for i, p in enumerate(pairs) for k, x in enumerate(p)]
+    got = {r.id: r for r in ld.fine_simhashes(spark.createDataFrame(lines, "class bigint, normal binary")).collect()}
+    bits = [sum(((got[2 * i][c] ^ got[2 * i + 1][c]) & (1 << 64) - 1).bit_count() for c in ld.FINE_PARTS) for i in range(len(pairs))]
+    assert all(any(got[k][c] for c in ld.FINE_PARTS) == (len(x) >= ld.FINE * ld.SIMILAR) for k, x in lines if abs(len(x) - ld.FINE * ld.SIMILAR) > 1)
+    assert sum(b <= ld.RADIUS_FINE for b in bits) >= 0.99 * len(bits) and max(bits) > 60
