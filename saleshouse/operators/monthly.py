@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .storage import CODEC, _filesystem, delete
+from .storage import CODEC, _filesystem, delete, shuffles_go
 
 MONTH = "sales_month"
 _LOAD = "__load"
@@ -88,7 +88,8 @@ def publish(rows: DataFrame, base: str, months: Sequence[int] | None = None, sur
     high = F.max(surrogate) if surrogate else F.lit(None).cast("bigint")
     observed = rows.observe(seen, high.alias("high"), F.count(F.lit(1)).alias("rows"))
     path = f"{base}/data/{_LOAD}={load}"
-    observed.write.option("compression", CODEC).partitionBy(MONTH).parquet(path)
+    with shuffles_go(spark):
+        observed.write.option("compression", CODEC).partitionBy(MONTH).parquet(path)
     fs, pattern = _filesystem(spark, f"{path}/{MONTH}=*")
     written = {int(found.getPath().getName().split("=")[1]) for found in fs.globStatus(pattern) or []}
     if months is not None and not written <= set(months):

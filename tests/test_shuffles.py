@@ -8,9 +8,9 @@ import pytest
 from helpers import Shop, line, tuples
 
 from saleshouse import catalog
-from saleshouse.operators import pairs, storage
+from saleshouse.operators import monthly, pairs, storage
 from saleshouse.plans import fact, summaries
-from saleshouse.sources import colocated, tables
+from saleshouse.sources import colocated, layout, tables
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,20 @@ def test_a_product_summary_does_not_multiply_its_rows(spark):
     assert "Expand" not in "\n".join(plan(summary))
     got = summary.select("stock_code", "times_ordered", "unique_customers", "total_quantity_sold")
     assert sorted(tuples(got)) == [("A", 2, 1, 3), ("B", 2, 1, 2)]
+
+
+def test_shuffle_files_of_written_tables_go_at_once(spark, tmp_path):
+    """A table that is read from here on needs none of the shuffles that made it: they go as the write ends, before the driver collects garbage."""
+    held = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return sum(held.getAllBlocks().apply(k).toString().startswith("shuffle_") for k in range(held.getAllBlocks().size()))
+
+    rows = spark.range(3000).selectExpr("id AS sales_key", "cast(19960101 + id % 28 + 100 * (id % 3) AS int) AS date_key", "cast(id % 5 AS int) AS country_key")
+    before = shuffles()
+    stored = storage.materialize(rows.groupBy("date_key").count(), "gone")
+    published = storage.publish(rows.repartition(7, "country_key"), str(tmp_path / "table"))
+    layout.publish_clustered(rows, str(tmp_path / "fact"))
+    assert shuffles() <= before
+    assert stored.count() == 84 and published.count() == monthly.read(spark, str(tmp_path / "fact")).count() == 3000
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
