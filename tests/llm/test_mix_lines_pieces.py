@@ -456,3 +456,43 @@ def test_fine_simhashes_of_similar_lines_are_near(spark):
     bits = [sum(((got[2 * i][c] ^ got[2 * i + 1][c]) & (1 << 64) - 1).bit_count() for c in ld.FINE_PARTS) for i in range(len(pairs))]
     assert all(any(got[k][c] for c in ld.FINE_PARTS) == (len(x) >= ld.FINE * ld.SIMILAR) for k, x in lines if abs(len(x) - ld.FINE * ld.SIMILAR) > 1)
     assert sum(b <= ld.RADIUS_FINE for b in bits) >= 0.99 * len(bits) and max(bits) > 60
+
+
+def test_long_lines_meet_by_longer_substrings():
+    """Unlike lines of `WIDE` bytes that have short phrases in common at one place share no key; similar ones do, also across that length."""
+    rnd, hasher = random.Random(5), SpanHasher()
+    letters = "etaoinshrdlucmfwyp"
+
+    def keys(*lines):
+        held = ld.line_rows(pa.chunked_array([pa.array(list(lines))]), hasher)[6].to_pylist()
+        assert all(0 <= k < 1 << 48 for some in held for k in some)
+        return [set(some) for some in held]
+
+    met = pairs = 0
+    for size in (ld.WIDE, 400, 900):
+        for _ in range(60):
+            phrases = ["".join(rnd.choice(letters) for _ in range(12)) for _ in range(size // 24 + 1)]
+            a, b = ("".join(p + "".join(rnd.choice(letters) for _ in range(12)) for p in phrases)[:size] for _ in range(2))
+            one, two = keys(a, b)
+            assert not one & two
+            c = edited(a, int(0.09 * len(a)), rnd)
+            one, two = keys(a, c)
+            met, pairs = met + bool(one & two), pairs + 1
+    assert met >= 0.97 * pairs
+
+
+def test_edit_bound_by_triples_changes_no_pair(monkeypatch):
+    """Pairs are linked as `within_edits` says, which few of the unlike ones reach."""
+    rnd, asked = random.Random(7), []
+    lines = [b"", b"a", b"ab", b"abc", b"abcd", b"x" * 70000, b"x" * 69000 + b"y" * 1000]
+    for _ in range(150):
+        x = "".join(rnd.choice("etaoins ") for _ in range(rnd.choice([5, 30, 90, 200, 600])))
+        lines += [x.encode(), edited(x, rnd.randrange(1, 2 + len(x) // 8), rnd).encode()]
+    a, b = np.array([(i, j) for i in range(len(lines)) for j in range(i + 1, min(i + 9, len(lines)))]).T
+    limit = [int((1 - ld.SIMILAR) * max(len(lines[i]), len(lines[j])) + 1e-9) for i, j in zip(a, b)]
+    expected = [ld.within_edits(lines[i], lines[j], k) for i, j, k in zip(a, b, limit)]
+    plain = ld.within_edits
+    monkeypatch.setattr(ld, "within_edits", lambda *x: asked.append(1) or plain(*x))
+    assert ld.similar_pairs(lines, a, b).tolist() == expected and sum(expected) > 50
+    assert len(asked) < 2 * sum(expected) + 50
+    assert ld.similar_pairs([], a[:0], b[:0]).tolist() == []
